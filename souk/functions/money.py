@@ -41,13 +41,13 @@ def moving_average(window_sum: Column, window_count: Column, precision: int = 14
     return ratio_half_up(to_cents(window_sum), window_count * 100, 2, precision)
 
 
-def drop_pct(window_sum: Column, window_count: Column, revenue: Column) -> Column:
+def drop_pct(window_sum: Column, window_count: Column, revenue: Column, precision: int = 6) -> Column:
     """100 * (avg - revenue) / avg, rounded to 2 decimals, as NUMERIC(6,2).
 
     With avg = S / n this is 100 * (S - n * r) / S: no intermediate average.
     """
     s, r = to_cents(window_sum), to_cents(revenue)
-    return ratio_half_up((s - window_count * r) * 100, s, 2, 6)
+    return ratio_half_up((s - window_count * r) * 100, s, 2, precision)
 
 
 def is_drop_anomaly(window_sum: Column, window_count: Column, revenue: Column,
