@@ -39,20 +39,31 @@ def insert_absent(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
 
 # --- partitioned tables ----------------------------------------------------
 
-def _layout(df: DataFrame, part: str, spread: list[str] | None) -> DataFrame:
+# Folders one write task targets at most when the number of dates is known.
+FOLDERS_PER_TASK = 64
+
+
+def _layout(df: DataFrame, part: str, spread: list[str] | None, n_values: int | None = None) -> DataFrame:
     """Range-partition on (partition column, spread columns) before a write.
 
     Range boundaries come from a sample, so one huge date is cut into
-    several tasks while each task still writes few partition folders.
+    several tasks while each task still writes few partition folders.  The
+    task count is at least the session's shuffle partitions (the cluster's
+    size knob) and at least one task per ``FOLDERS_PER_TASK`` target dates,
+    so a backfill of many small dates is not squeezed into one writer.
     """
-    spread = spread or []
-    return df.repartitionByRange(F.col(part), *[F.col(c) for c in spread])
+    cols = [F.col(part)] + [F.col(c) for c in (spread or [])]
+    if n_values is None:
+        return df.repartitionByRange(*cols)
+    base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    n = max(base, -(-n_values // FOLDERS_PER_TASK))
+    return df.repartitionByRange(n, *cols)
 
 
 def write_partitions(df: DataFrame, path: str, part: str = "dt", spread: list[str] | None = None,
-                     fmt: str = "parquet") -> None:
+                     fmt: str = "parquet", n_values: int | None = None) -> None:
     """Replace exactly the ``part`` values present in ``df`` (dynamic overwrite)."""
-    (_layout(df, part, spread).write.mode("overwrite")
+    (_layout(df, part, spread, n_values).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(part).format(fmt).save(path))
 
@@ -67,16 +78,40 @@ def replace_partition(df: DataFrame, path: str, ds, part: str = "dt") -> None:
     rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{part}={ds}")
 
 
+def delete_paths(spark: SparkSession, paths: Iterable[str]) -> int:
+    """Remove folders through the Hadoop FileSystem of each path (metadata only)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    for p in paths:
+        jp = jvm.org.apache.hadoop.fs.Path(p)
+        fs = jp.getFileSystem(conf)
+        if fs.exists(jp):
+            fs.delete(jp, True)
+            n += 1
+    return n
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    jp = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(jp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jp))
+
+
 def replace_partitions(df: DataFrame, path: str, dates: Iterable, part: str = "dt",
                        spread: list[str] | None = None) -> None:
-    """B2 for a set of dates in one job; requested dates that came out empty are emptied."""
+    """B2 for a set of dates in one job.
+
+    Dates present in ``df`` are replaced by dynamic overwrite; requested
+    dates that came out empty get their folder removed, so they read as
+    empty — the same outcome as DELETE + INSERT of nothing.
+    """
     wanted = sorted({str(d) for d in dates})
     rows = df.where(F.col(part).isin(wanted))
-    write_partitions(rows, path, part, spread)
+    write_partitions(rows, path, part, spread, n_values=len(wanted))
     present = {str(r[0]) for r in rows.select(part).distinct().collect()}  # <= len(wanted) values
     empty = [d for d in wanted if d not in present]
-    for d in empty:
-        replace_partition(df.limit(0), path, d, part)
+    delete_paths(df.sparkSession, [f"{path.rstrip('/')}/{part}={d}" for d in empty])
 
 
 def read_partitioned(spark: SparkSession, path: str, schema: T.StructType, ds=None,

@@ -27,9 +27,10 @@ class EmptySourceError(RuntimeError):
 @dataclass(frozen=True)
 class Warehouse:
     root: str
+    raw_root: str | None = None   # landing zone; defaults to {root}/raw
 
     def raw(self) -> str:
-        return f"{self.root}/raw"
+        return self.raw_root or f"{self.root}/raw"
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
@@ -78,7 +79,7 @@ def ingest(spark: SparkSession, wh: Warehouse, ds=None, dates=None, gate: bool =
     before publishing (Q7), per date: a failing date raises and nothing of
     the run is published.
     """
-    raw_orders = landing.read_raw(spark, wh.raw(), "orders", ds=ds, as_text=True)
+    raw_orders = landing.read_raw(spark, wh.raw(), "orders", ds=ds, dates=dates, as_text=True)
     typed, rejects = landing.stage(raw_orders, "orders")
     snap_ds = ds if ds is not None else max(str(d) for d in dates)
     sellers, _ = landing.stage(landing.read_snapshot_raw(spark, wh.raw(), "sellers", snap_ds), "sellers")

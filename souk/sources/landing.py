@@ -27,7 +27,8 @@ def text_schema(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
 
 
-def land(df: DataFrame, base: str, entity: str, ds=None, spread: list[str] | None = None) -> None:
+def land(df: DataFrame, base: str, entity: str, ds=None, spread: list[str] | None = None,
+         n_dates: int | None = None) -> None:
     """B1: write records as JSON lines under ``entity/folder_dt=``, replacing those dates.
 
     The folder date is ``df.folder_dt`` when present, else ``ds`` (daily
@@ -38,27 +39,27 @@ def land(df: DataFrame, base: str, entity: str, ds=None, spread: list[str] | Non
     if "folder_dt" not in rows.columns:
         folder = F.lit(str(ds)).cast("date") if ds is not None else F.col("dt")
         rows = rows.withColumn("folder_dt", folder)
-    write_partitions(rows, f"{base}/{entity}", part="folder_dt", spread=spread, fmt="json")
-
-
-def _folder_date(path: Column) -> Column:
-    return F.regexp_extract(path, r"dt=([0-9]{4}-[0-9]{2}-[0-9]{2})", 1).cast("date")
+    write_partitions(rows, f"{base}/{entity}", part="folder_dt", spread=spread, fmt="json", n_values=n_dates)
 
 
 def read_raw(spark: SparkSession, base: str, entity: str, ds=None, as_text: bool = False,
-             multiline: bool = False) -> DataFrame:
-    """A1-A3: raw records of ``entity`` (one date, or all), with ``path_dt``.
+             multiline: bool = False, dates=None) -> DataFrame:
+    """A1-A3: raw records of ``entity`` for one date, a set of dates, or all.
 
-    Files are listed recursively so the record's own ``dt`` is kept; the
-    folder date comes from the file path.  A single date reads only its
-    folder.
+    The folder date is a partition column (``folder_dt``), distinct from
+    the record's own ``dt`` field, so both are kept; a date filter prunes
+    folders at listing time.  Returned as ``path_dt``.
     """
     schema = ENTITY_SCHEMAS[entity]
-    read_schema = text_schema(schema) if as_text else schema
-    root = f"{base}/{entity}" + (f"/folder_dt={ds}" if ds is not None else "")
-    df = (spark.read.schema(read_schema).option("recursiveFileLookup", "true")
-          .option("multiLine", str(multiline).lower()).json(root))
-    return df.withColumn("path_dt", _folder_date(F.col("_metadata.file_path")))
+    fields = (text_schema(schema) if as_text else schema).fields
+    read_schema = T.StructType(fields + [T.StructField("folder_dt", T.DateType())])
+    df = (spark.read.schema(read_schema).option("multiLine", str(multiline).lower())
+          .json(f"{base}/{entity}"))
+    if ds is not None:
+        df = df.where(F.col("folder_dt") == F.lit(str(ds)).cast("date"))
+    elif dates is not None:
+        df = df.where(F.col("folder_dt").isin(sorted({str(d) for d in dates})))
+    return df.withColumnRenamed("folder_dt", "path_dt")
 
 
 def latest_snapshot_date(spark: SparkSession, base: str, entity: str, ds) -> Column:
