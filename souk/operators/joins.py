@@ -22,10 +22,19 @@ def broadcast_bound(spark) -> int:
     return int(v) if v else BROADCAST_MAX_ROWS
 
 
+# Session cache of size checks: (application, plan hash, input files, bound) -> fits.
+# Input files are part of the key, so new or rewritten data is checked again.
+_CHECKED: dict[tuple, bool] = {}
+
+
 def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (bounded check)."""
+    """True when ``df`` has at most ``max_rows`` rows (bounded check, cached per session)."""
     bound = max_rows if max_rows is not None else broadcast_bound(df.sparkSession)
-    return df.limit(bound + 1).count() <= bound
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(),
+           tuple(sorted(df.inputFiles())), bound)
+    if key not in _CHECKED:
+        _CHECKED[key] = df.limit(bound + 1).count() <= bound
+    return _CHECKED[key]
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
