@@ -104,12 +104,18 @@ def replace_partitions(df: DataFrame, path: str, dates: Iterable, part: str = "d
 
     Dates present in ``df`` are replaced by dynamic overwrite; requested
     dates that came out empty get their folder removed, so they read as
-    empty — the same outcome as DELETE + INSERT of nothing.
+    empty — the same outcome as DELETE + INSERT of nothing.  The set of
+    written dates is observed during the write itself (at most one value
+    per requested date), so the input is computed once.
     """
+    from pyspark.sql import Observation
+
     wanted = sorted({str(d) for d in dates})
-    rows = df.where(F.col(part).isin(wanted))
+    seen = Observation(f"written_{part}")
+    rows = df.where(F.col(part).isin(wanted)).observe(
+        seen, F.collect_set(F.col(part).cast("string")).alias("parts"))
     write_partitions(rows, path, part, spread, n_values=len(wanted))
-    present = {str(r[0]) for r in rows.select(part).distinct().collect()}  # <= len(wanted) values
+    present = set(seen.get.get("parts") or [])
     empty = [d for d in wanted if d not in present]
     delete_paths(df.sparkSession, [f"{path.rstrip('/')}/{part}={d}" for d in empty])
 
@@ -133,10 +139,9 @@ _MANIFEST = T.StructType([T.StructField("version", T.LongType())])
 
 def current_version(spark: SparkSession, path: str) -> int | None:
     """Highest committed version of a snapshot table (from its manifest)."""
-    try:
-        row = spark.read.schema(_MANIFEST).parquet(f"{path}/_manifest").agg(F.max("version")).first()
-    except Exception:  # noqa: BLE001 - no manifest yet
+    if not path_exists(spark, f"{path}/_manifest"):
         return None
+    row = spark.read.schema(_MANIFEST).parquet(f"{path}/_manifest").agg(F.max("version")).first()
     return row[0] if row else None
 
 
@@ -178,7 +183,7 @@ def insert_absent_table(spark: SparkSession, path: str, source: DataFrame, key:
 
 # --- generated columns (B5) ------------------------------------------------
 
-def sequential_id(df: DataFrame, order: list[str], id_col: str = "id") -> DataFrame:
+def sequential_id(df: DataFrame, order: list, id_col: str = "id") -> DataFrame:
     """Dense ids 1..N following the total order ``order`` (stand-in for SERIAL).
 
     No global single-task window: rows are range-partitioned on ``order``
@@ -188,7 +193,8 @@ def sequential_id(df: DataFrame, order: list[str], id_col: str = "id") -> DataFr
     """
     from pyspark.sql import Window
 
-    ranged = df.repartitionByRange(*[F.col(c) for c in order]).withColumn("_pid", F.spark_partition_id())
+    order = [F.col(c) if isinstance(c, str) else c for c in order]   # names or sort expressions
+    ranged = df.repartitionByRange(*order).withColumn("_pid", F.spark_partition_id())
     local = ranged.withColumn("_ix", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)))
     sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -196,3 +202,19 @@ def sequential_id(df: DataFrame, order: list[str], id_col: str = "id") -> DataFr
     return (local.join(F.broadcast(offsets), "_pid")
                  .withColumn(id_col, (F.col("_off") + F.col("_ix")).cast("bigint"))
                  .drop("_pid", "_ix", "_off"))
+
+
+def replace_dates_snapshot(spark: SparkSession, path: str, df: DataFrame, dates: Iterable,
+                           schema: T.StructType, part: str = "dt") -> int:
+    """B2 for small per-day tables kept as one snapshot (no folder per day).
+
+    Next version = current rows of other dates + ``df``'s rows of ``dates``;
+    a requested date without rows ends up empty.  Used for tables whose size
+    is bounded by the calendar (one or a few rows per day), where one folder
+    per day would only add files.
+    """
+    wanted = sorted({str(d) for d in dates})
+    new = df.where(F.col(part).isin(wanted)).select(*schema.fieldNames())
+    cur = read_snapshot(spark, path, schema)
+    nxt = new if cur is None else cur.where(~F.col(part).isin(wanted)).unionByName(new)
+    return write_snapshot(nxt.repartition(1), path)   # small result: one file; upstream stays parallel

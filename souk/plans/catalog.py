@@ -624,8 +624,10 @@ def _category_domain(spark, sf):
 def _anomalies_ranked(spark, sf):
     fx = Fixture(spark, sf)
     day = anomaly.detect_anomalies(fx.fact, fx.sellers, _ds(fx.fact))
-    return _rank(day.select("seller_name", "seller_id", "revenue", "moving_avg_7d", "drop_pct"),
-                 F.desc_nulls_first("drop_pct"), "seller_id")
+    # One day's anomalies grow with the number of sellers: rank in parallel, not in one window task.
+    ranked = sinks.sequential_id(day.select("seller_name", "seller_id", "revenue", "moving_avg_7d", "drop_pct"),
+                                 [F.desc_nulls_first("drop_pct"), F.asc("seller_id")], "rank_no")
+    return ranked.withColumn("rank_no", F.col("rank_no").cast("int"))
 
 
 # --- M: streaming -----------------------------------------------------------------------

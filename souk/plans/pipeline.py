@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from souk import schemas as S
 from souk.operators import anomaly, metrics, quality, star
-from souk.operators.sinks import (insert_absent_table, read_partitioned, read_snapshot, replace_partition,
-                                  replace_partitions, upsert_table, write_snapshot)
+from souk.operators.sinks import (insert_absent_table, read_partitioned, read_snapshot, replace_dates_snapshot,
+                                  replace_partition, replace_partitions, upsert_table, write_snapshot)
 from souk.sources import landing
 
 
@@ -36,31 +36,51 @@ class Warehouse:
         return f"{self.root}/{layer}/{table}"
 
 
+ALERTS = S._s(("event", S.T.StringType()), ("dt", S.T.DateType()), ("n_anomalies", S.T.IntegerType()))
+
+# Tables that grow with the order volume: one folder per dt.
 TABLE_SCHEMAS = {
     ("staging", "orders"): S.ORDERS, ("dwh", "fact_orders"): S.ORDERS,
-    ("analytics", "top_sellers"): S.TOP_SELLERS, ("analytics", "daily_revenue"): S.DAILY_REVENUE,
+    ("analytics", "top_sellers"): S.TOP_SELLERS, ("analytics", "anomalies"): S.ANOMALIES,
+}
+# Tables bounded by the calendar (a few rows per day): versioned snapshots,
+# replaced by date (souk.operators.sinks.replace_dates_snapshot).
+DAILY_SCHEMAS = {
+    ("analytics", "daily_revenue"): S.DAILY_REVENUE,
     ("analytics", "category_breakdown"): S.CATEGORY_BREAKDOWN,
-    ("analytics", "customer_activity"): S.CUSTOMER_ACTIVITY, ("analytics", "anomalies"): S.ANOMALIES,
-    ("analytics", "alerts"): None,
+    ("analytics", "customer_activity"): S.CUSTOMER_ACTIVITY,
+    ("analytics", "alerts"): ALERTS,
 }
+# Keyed reference tables: versioned snapshots, upserted.
 SNAPSHOT_SCHEMAS = {
     ("staging", "sellers"): S.SELLERS, ("staging", "products"): S.PRODUCTS,
     ("dwh", "dim_seller"): S.SELLERS, ("dwh", "dim_product"): S.PRODUCTS,
     ("dwh", "dim_customer"): S.CUSTOMERS, ("dwh", "dim_date"): S.DIM_DATE,
+    **DAILY_SCHEMAS,
 }
-ALERTS = S._s(("event", S.T.StringType()), ("dt", S.T.DateType()), ("n_anomalies", S.T.IntegerType()))
-TABLE_SCHEMAS[("analytics", "alerts")] = ALERTS
 
 
 def read_table(spark: SparkSession, wh: Warehouse, layer: str, table: str, ds=None) -> DataFrame:
     if (layer, table) in SNAPSHOT_SCHEMAS:
         df = read_snapshot(spark, wh.path(layer, table), SNAPSHOT_SCHEMAS[(layer, table)])
         if df is None:
-            return spark.createDataFrame([], SNAPSHOT_SCHEMAS[(layer, table)])
-        return df
+            df = spark.createDataFrame([], SNAPSHOT_SCHEMAS[(layer, table)])
+        return df if ds is None else df.where(F.col("dt") == F.lit(str(ds)).cast("date"))
     return read_partitioned(spark, wh.path(layer, table), TABLE_SCHEMAS[(layer, table)], ds)
 
 
+def replace(spark: SparkSession, wh: Warehouse, layer: str, table: str, df: DataFrame,
+            ds=None, dates=None, spread: list[str] | None = None) -> None:
+    """B2 for one date or a set of dates, with the table's storage layout."""
+    days = [ds] if dates is None else dates
+    if (layer, table) in DAILY_SCHEMAS:
+        replace_dates_snapshot(spark, wh.path(layer, table), df, days, DAILY_SCHEMAS[(layer, table)])
+    elif dates is None:
+        replace_partition(df, wh.path(layer, table), ds)
+    else:
+        replace_partitions(df, wh.path(layer, table), dates, spread=spread)
+
+
 def latest_loaded_date(df: DataFrame):
     """A6 resolved to a value (one row to the driver); Q2: empty -> error."""
     v = df.agg(F.max("dt")).first()[0]
@@ -134,19 +154,18 @@ def aggregate(spark: SparkSession, wh: Warehouse, ds=None, dates=None) -> None:
     fact = read_table(spark, wh, "dwh", "fact_orders")
     sellers = read_table(spark, wh, "dwh", "dim_seller")
     products = read_table(spark, wh, "dwh", "dim_product")
-    out = lambda t: wh.path("analytics", t)
     if dates is None:
         ds = ds if ds is not None else latest_loaded_date(fact)
-        replace_partition(metrics.top_sellers(fact, sellers, ds), out("top_sellers"), ds)
-        replace_partition(metrics.daily_revenue(fact, ds), out("daily_revenue"), ds)
-        replace_partition(metrics.category_breakdown(fact, products, ds), out("category_breakdown"), ds)
-        replace_partition(metrics.customer_activity(fact, ds), out("customer_activity"), ds)
+        replace(spark, wh, "analytics", "top_sellers", metrics.top_sellers(fact, sellers, ds), ds=ds)
+        replace(spark, wh, "analytics", "daily_revenue", metrics.daily_revenue(fact, ds), ds=ds)
+        replace(spark, wh, "analytics", "category_breakdown", metrics.category_breakdown(fact, products, ds), ds=ds)
+        replace(spark, wh, "analytics", "customer_activity", metrics.customer_activity(fact, ds), ds=ds)
         return
-    replace_partitions(metrics.top_sellers(fact, sellers), out("top_sellers"), dates, spread=["seller_id"])
-    replace_partitions(metrics.daily_revenue_zero_filled(fact), out("daily_revenue"), dates)
-    replace_partitions(metrics.category_breakdown(fact, products), out("category_breakdown"), dates,
-                       spread=["category"])
-    replace_partitions(metrics.customer_activity_all(fact), out("customer_activity"), dates)
+    replace(spark, wh, "analytics", "top_sellers", metrics.top_sellers(fact, sellers), dates=dates,
+            spread=["seller_id"])
+    replace(spark, wh, "analytics", "daily_revenue", metrics.daily_revenue_zero_filled(fact), dates=dates)
+    replace(spark, wh, "analytics", "category_breakdown", metrics.category_breakdown(fact, products), dates=dates)
+    replace(spark, wh, "analytics", "customer_activity", metrics.customer_activity_all(fact), dates=dates)
 
 
 # --- K4 / K5 anomalies --------------------------------------------------------------
@@ -158,16 +177,14 @@ def detect(spark: SparkSession, wh: Warehouse, ds=None, dates=None,
     sellers = read_table(spark, wh, "dwh", "dim_seller")
     if dates is None:
         ds = ds if ds is not None else latest_loaded_date(fact)
-        found = anomaly.detect_anomalies(fact, sellers, ds, threshold)
-        replace_partition(found, wh.path("analytics", "anomalies"), ds)
-        n = read_table(spark, wh, "analytics", "anomalies", ds).count()
-        replace_partition(anomaly.alert_events(read_table(spark, wh, "analytics", "anomalies", ds)),
-                          wh.path("analytics", "alerts"), ds)
-        return n
+        replace(spark, wh, "analytics", "anomalies", anomaly.detect_anomalies(fact, sellers, ds, threshold), ds=ds)
+        written = read_table(spark, wh, "analytics", "anomalies", ds)
+        replace(spark, wh, "analytics", "alerts", anomaly.alert_events(written), ds=ds)
+        return written.count()
     found = anomaly.detect_anomalies_all(fact, sellers, threshold)
-    replace_partitions(found, wh.path("analytics", "anomalies"), dates, spread=["seller_id"])
+    replace(spark, wh, "analytics", "anomalies", found, dates=dates, spread=["seller_id"])
     written = read_table(spark, wh, "analytics", "anomalies").where(F.col("dt").isin([str(d) for d in dates]))
-    replace_partitions(anomaly.alert_events(written), wh.path("analytics", "alerts"), dates)
+    replace(spark, wh, "analytics", "alerts", anomaly.alert_events(written), dates=dates)
     return -1
 
 

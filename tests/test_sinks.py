@@ -84,3 +84,11 @@ def test_multiline_array_file(spark, tmp_path):
     df = landing.read_raw(spark, str(tmp_path), "orders", multiline=True)
     r = df.collect()[0]
     assert r["order_id"] == "o1" and r["total_amount"] == Decimal("10.26")
+
+
+def test_sequential_id_descending_order(spark):
+    df = spark.range(0, 3000).select((F.col("id") % 50).alias("v"), F.col("id").alias("k"))
+    out = sinks.sequential_id(df, [F.desc("v"), F.asc("k")], "rank_no").collect()
+    got = sorted((r["rank_no"], -r["v"], r["k"]) for r in out)
+    assert [g[0] for g in got] == list(range(1, 3001))
+    assert [g[1:] for g in got] == sorted(g[1:] for g in got)
