@@ -123,7 +123,7 @@ def replace_partitions(df: DataFrame, path: str, dates: Iterable, part: str = "d
 def read_partitioned(spark: SparkSession, path: str, schema: T.StructType, ds=None,
                      part: str = "dt") -> DataFrame:
     """A4/A5: scan a partitioned table; ``ds`` prunes to one partition folder."""
-    df = spark.read.schema(schema).parquet(path)
+    df = spark.read.schema(schema).parquet(path).select(*schema.fieldNames())   # schema order, dt included
     return df if ds is None else df.where(F.col(part) == F.lit(str(ds)).cast("date"))
 
 
