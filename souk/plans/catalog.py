@@ -312,7 +312,7 @@ def _agg_duplicate_count(spark, sf):
 @query("top_sellers")
 def _top_sellers(spark, sf):
     fx = Fixture(spark, sf)
-    return metrics.top_sellers(fx.fact, fx.sellers, _ds(fx.fact))
+    return metrics.top_sellers(fx.fact, fx.sellers, fx.latest_dt)
 
 
 @query("top_sellers_all")
@@ -340,7 +340,7 @@ def _daily_revenue_zero_filled(spark, sf):
 @query("category_breakdown")
 def _category_breakdown(spark, sf):
     fx = Fixture(spark, sf)
-    return metrics.category_breakdown(fx.fact, fx.products, _ds(fx.fact))
+    return metrics.category_breakdown(fx.fact, fx.products, fx.latest_dt)
 
 
 @query("category_breakdown_all")
@@ -534,7 +534,7 @@ def _pipeline_aggregate(spark, sf):
 @query("anomalies")
 def _anomalies(spark, sf):
     fx = Fixture(spark, sf)
-    return anomaly.detect_anomalies(fx.fact, fx.sellers, _ds(fx.fact))
+    return anomaly.detect_anomalies(fx.fact, fx.sellers, fx.latest_dt)
 
 
 @query("anomalies_all")
@@ -584,7 +584,7 @@ def _kpi_day(spark, sf):
 def _kpi_anomaly_count(spark, sf):
     fx = Fixture(spark, sf)
     found = anomaly.detect_anomalies_all(fx.fact, fx.sellers)
-    ds = _ds(fx.fact)
+    ds = fx.latest_dt
     return found.where(F.col("dt") == ds).agg(F.count(F.lit(1)).cast("bigint").alias("n")).select(
         ds.alias("dt"), "n")
 
@@ -600,7 +600,7 @@ def _revenue_trend_7d(spark, sf):
 @query("top_10_sellers")
 def _top_10_sellers(spark, sf):
     fx = Fixture(spark, sf)
-    day = metrics.top_sellers(fx.fact, fx.sellers, _ds(fx.fact))
+    day = metrics.top_sellers(fx.fact, fx.sellers, fx.latest_dt)
     top = day.orderBy(F.desc_nulls_first("revenue"), "seller_id").limit(S.TOP_N)
     return _rank(top, F.desc_nulls_first("revenue"), "seller_id").select(
         "rank_no", "seller_id", "seller_name", "revenue", "nb_orders")
@@ -609,21 +609,21 @@ def _top_10_sellers(spark, sf):
 @query("category_ranked")
 def _category_ranked(spark, sf):
     fx = Fixture(spark, sf)
-    day = metrics.category_breakdown(fx.fact, fx.products, _ds(fx.fact))
+    day = metrics.category_breakdown(fx.fact, fx.products, fx.latest_dt)
     return _rank(day.select("category", "revenue"), F.desc_nulls_first("revenue"), "category")
 
 
 @query("category_domain")
 def _category_domain(spark, sf):
     fx = Fixture(spark, sf)
-    day = metrics.category_breakdown(fx.fact, fx.products, _ds(fx.fact))
+    day = metrics.category_breakdown(fx.fact, fx.products, fx.latest_dt)
     return _rank(day.select("category").distinct(), "category")
 
 
 @query("anomalies_ranked")
 def _anomalies_ranked(spark, sf):
     fx = Fixture(spark, sf)
-    day = anomaly.detect_anomalies(fx.fact, fx.sellers, _ds(fx.fact))
+    day = anomaly.detect_anomalies(fx.fact, fx.sellers, fx.latest_dt)
     # One day's anomalies grow with the number of sellers: rank in parallel, not in one window task.
     ranked = sinks.sequential_id(day.select("seller_name", "seller_id", "revenue", "moving_avg_7d", "drop_pct"),
                                  [F.desc_nulls_first("drop_pct"), F.asc("seller_id")], "rank_no")

@@ -160,6 +160,17 @@ class Fixture:
     def fact(self) -> DataFrame:
         return fact_orders(self.spark, self.sf_dir)
 
+    @property
+    def latest_dt(self):
+        """MAX(dt) of the fact as a lazy scalar subquery.
+
+        The dedup keeps at least one line per order key, so the fact has the
+        same dates as lines joined to orders: the subquery skips the dedup.
+        """
+        lines = read_table(self.spark, self.sf_dir, "lineitem", "l_orderkey")
+        dates = lines.join(_order_header(self.spark, self.sf_dir), "l_orderkey")
+        return dates.select(F.max(F.col("o_orderdate").cast("date"))).scalar()
+
     @property
     def orders_faulty(self) -> DataFrame:
         return orders_faulty(self.spark, self.sf_dir)
