@@ -49,18 +49,19 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and scratch tables.
 
     Read from the session (``spark.checkpoint.dir`` or the context's
-    checkpoint dir); only when neither is set, create one (tests).
+    checkpoint dir); only when neither is set, create one (tests) and make
+    it the context's checkpoint dir.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        current = spark.sparkContext.getCheckpointDir()
-        if current:
-            return current
-        root = tempfile.mkdtemp(prefix="souk-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
-    return root
+    current = spark.sparkContext.getCheckpointDir()
+    if root:
+        if not current:
+            spark.sparkContext.setCheckpointDir(root)
+        return root
+    if current:
+        return current
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="souk-ckpt-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
