@@ -9,20 +9,38 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from souk.llm import ngram_join
+from souk.llm import decontam, ngram_join, toxicity
+from souk.llm.common import held_out
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; labels of held-out rows are not learned from."""
+    docs, labels = _docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scorer = toxicity.train(toxicity.training_sample(docs, labels.where(~held_out(F.col("doc_id")))))
+    return (toxicity.score_texts(docs.select("doc_id", "text"), scorer)
+            .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                    (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")))
+
+
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose 3-word shingle sets are at least 90 % alike."""
     return ngram_join.near_duplicates(_docs(spark, sf_dir), n=3, similarity=90)
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in documents, one row per document and item."""
+    return decontam.contaminated(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_toxicity": op3_toxicity,
     "op8_ngram_join": op8_ngram_join,
+    "op10_decontamination": op10_decontamination,
 }
 ORACLE: dict[str, str] = {}
