@@ -2,7 +2,10 @@
 
 ``STAGES`` lists its stages in order; each takes ``(spark, docs, sf_dir)`` and
 returns a DataFrame that is written as Parquet and read again as the next
-stage's ``docs``.
+stage's ``docs``.  All but the last return the columns of ``documents``.
+
+Null or empty texts pass the first three stages (nothing speaks against
+them), are not drawn by the mix, and so do not reach the shards.
 """
 
 from __future__ import annotations
@@ -10,25 +13,71 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from souk.llm import ngram_join
-from souk.llm.common import saved
+from souk.llm import decontam, mixing, ngram_join, sharding, toxicity
+from souk.llm.common import drop_saved, held_out, saved
+
+SHARDS = 40
+BROADCAST_IDS = 1_000_000     # ids (8 bytes each) that may be broadcast; checked by a count
+
+
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose id is in ``ids``."""
+    ids = saved(ids.where("doc_id is not null").distinct(), "gone")
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return docs.join(ids, "doc_id", "left_anti").select(docs.columns)
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored 0.7 or more go.  Labels of held-out rows are not learned from."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~held_out(F.col("doc_id")))
+    scorer = toxicity.train(toxicity.training_sample(docs, labels))
+    return (toxicity.score_texts(docs, scorer, out_col="_toxicity")
+            .where(F.col("_toxicity") < toxicity.THRESHOLD).select(docs.columns))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the smallest id of every group of near duplicates (5-word
     shingles, similarity 0.8).  Rows without an id stay."""
     groups = ngram_join.near_duplicates(docs, n=5, similarity=80, n2=2)
-    gone = groups.where("component_id <> doc_id").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    return _without(docs, groups.where("component_id <> doc_id").select("doc_id"))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    found = decontam.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return _without(docs, found.select("doc_id"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Whole documents as often as a mix of the sources (weights 5, 2, 1, ...) draws them."""
+    return mixing.mixed(docs)
+
+
+def into_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with ``shard`` (of 40, nearly equal bytes) and ``slot``."""
+    return sharding.sharded(docs, SHARDS).select(*docs.columns, "shard", "slot")
 
 
-STAGES = [("ngram_join", one_of_each_group)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("ngram_join", one_of_each_group),
+    ("decontamination", drop_contaminated),
+    ("mixing", mix_sources),
+    ("sharding", into_shards),
+]
 
-ORACLE_SQL = None       # signatures, models and seeded draws are not SQL
+ORACLE_SQL = None       # trained models, signatures and seeded draws are not SQL
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the whole of ``documents``; each stage's rows are stored
+    in the shared folder and deleted once the next stage's are."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for name, stage in STAGES:
         docs = saved(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if before is not None:
+            drop_saved(spark, before)
+        before = docs
     return docs

@@ -112,7 +112,7 @@ def _key(s: np.ndarray) -> int:
     return int(mix64(mix64(s + _U(0xA24BAED4963EE407)).sum(dtype=_U, keepdims=True) + _U(len(s))).astype(np.int64)[0])
 
 
-def _pieces(pdf: pd.DataFrame, bytes_most: int = 4 << 20):
+def _pieces(pdf: pd.DataFrame, bytes_most: int = 1 << 20):
     """The batch in runs of bounded text size."""
     size = pdf["text"].str.len().fillna(0).cumsum().to_numpy() // bytes_most
     for _, part in pdf.groupby(size, sort=True):

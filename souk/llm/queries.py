@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from souk.llm import decontam, ngram_join, toxicity
+from souk.llm import decontam, mixing, ngram_join, sharding, toxicity
 from souk.llm.common import held_out
 
 
@@ -19,6 +19,18 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of all sources with weights 5, 2, 1, ... takes of every document."""
+    return mixing.taken(_docs(spark, sf_dir))
+
+
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """40 shards of nearly equal bytes; documents with equal texts share one."""
+    return (sharding.sharded(_docs(spark, sf_dir), 40)
+            .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                    F.lit(None).cast("int").alias("grown_shard")))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document; labels of held-out rows are not learned from."""
     docs, labels = _docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -39,6 +51,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": op1_mixing,
+    "op2_sharding": op2_sharding,
     "op3_toxicity": op3_toxicity,
     "op8_ngram_join": op8_ngram_join,
     "op10_decontamination": op10_decontamination,
