@@ -11,10 +11,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from souk.llm import decontam, mixing, ngram_join, sharding, toxicity
+from souk.llm import decontam, fingerprint, mixing, ngram_join, sharding, token_counts, toxicity
 from souk.llm.common import held_out
 
 
+TOKEN_LIMIT = 4_096
+
+
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -40,11 +43,25 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")))
 
 
+def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    return fingerprint.edited_fingerprints(_docs(spark, sf_dir))
+
+
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose 3-word shingle sets are at least 90 % alike."""
     return ngram_join.near_duplicates(_docs(spark, sf_dir), n=3, similarity=90)
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document with a public sentencepiece model."""
+    import public_tokenizers
+    docs = _docs(spark, sf_dir).select("doc_id", "text")
+    return (token_counts.with_token_count(docs, public_tokenizers.path("piece_bpe_32k.model"))
+            .select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), "n_tokens",
+                    (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit")))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items found in documents, one row per document and item."""
     return decontam.contaminated(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -54,7 +71,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_sharding": op2_sharding,
     "op3_toxicity": op3_toxicity,
+    "op5_fingerprint": op5_fingerprint,
     "op8_ngram_join": op8_ngram_join,
+    "op9_token_counts": op9_token_counts,
     "op10_decontamination": op10_decontamination,
 }
 ORACLE: dict[str, str] = {}
