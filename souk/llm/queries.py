@@ -11,11 +11,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from souk.llm import decontam, fingerprint, mixing, ngram_join, sharding, token_counts, toxicity
+from souk.llm import decontam, fingerprint, mixing, ngram_join, sharding, token_counts, token_files, toxicity
 from souk.llm.common import held_out
 
 
 TOKEN_LIMIT = 4_096
+END_ID = 2
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,6 +44,12 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")))
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, read back from the shard files through the index."""
+    import public_tokenizers
+    return token_files.round_trip(_docs(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), END_ID)
+
+
 def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and of their edited texts."""
     return fingerprint.edited_fingerprints(_docs(spark, sf_dir))
@@ -71,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_sharding": op2_sharding,
     "op3_toxicity": op3_toxicity,
+    "op4_token_files": op4_token_files,
     "op5_fingerprint": op5_fingerprint,
     "op8_ngram_join": op8_ngram_join,
     "op9_token_counts": op9_token_counts,
