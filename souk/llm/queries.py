@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from souk.llm import decontam, fingerprint, mixing, ngram_join, sharding, token_counts, token_files, toxicity
+from souk.llm import decontam, fingerprint, langid, mixing, ngram_join, sharding, token_counts, token_files, toxicity
 from souk.llm.common import held_out
 
 
@@ -55,6 +55,14 @@ def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edited_fingerprints(_docs(spark, sf_dir))
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; held-out rows are not learned from."""
+    docs = _docs(spark, sf_dir)
+    tagger = langid.train(langid.training_texts(docs.where(~held_out(F.col("doc_id")))))
+    return (langid.with_language(docs.select("doc_id", "text"), tagger)
+            .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"))
+
+
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose 3-word shingle sets are at least 90 % alike."""
     return ngram_join.near_duplicates(_docs(spark, sf_dir), n=3, similarity=90)
@@ -80,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op4_token_files": op4_token_files,
     "op5_fingerprint": op5_fingerprint,
+    "op6_language": op6_language,
     "op8_ngram_join": op8_ngram_join,
     "op9_token_counts": op9_token_counts,
     "op10_decontamination": op10_decontamination,
