@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from souk.llm import decontam, fingerprint, langid, mixing, ngram_join, sharding, token_counts, token_files, toxicity
+from souk.llm import decontam, fingerprint, langid, lines, mixing, ngram_join, sharding, token_counts, token_files, toxicity
 from souk.llm.common import held_out
 
 
@@ -63,6 +63,11 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of near-equal lines over all documents."""
+    return lines.line_groups(_docs(spark, sf_dir))
+
+
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose 3-word shingle sets are at least 90 % alike."""
     return ngram_join.near_duplicates(_docs(spark, sf_dir), n=3, similarity=90)
@@ -89,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_files": op4_token_files,
     "op5_fingerprint": op5_fingerprint,
     "op6_language": op6_language,
+    "op7_line_dedup": op7_line_dedup,
     "op8_ngram_join": op8_ngram_join,
     "op9_token_counts": op9_token_counts,
     "op10_decontamination": op10_decontamination,
