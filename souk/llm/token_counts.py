@@ -56,13 +56,18 @@ def load(path: str):
     return _Pieces(path) if path.endswith(".model") else _Json(path)
 
 
+def _joins(c: str) -> bool:
+    """Whether a character may be one with a space beside it."""
+    return c.isspace() or c == "▁"
+
+
 def split_safely(text: str, most: int = PIECE_CHARS) -> list[str]:
     """``text`` in pieces of at least ``most`` characters (the last may be
     shorter), cut at single spaces between two non-spaces; those are left out."""
     out, at = [], 0
     while len(text) - at > most:
         cut = text.find(" ", at + most)
-        while cut > 0 and (text[cut - 1].isspace() or text[cut + 1:cut + 2].isspace()):
+        while cut > 0 and (_joins(text[cut - 1]) or _joins(text[cut + 1:cut + 2])):
             cut = text.find(" ", cut + 1)
         if cut < 0 or cut + 1 >= len(text):
             break
