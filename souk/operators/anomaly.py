@@ -14,6 +14,8 @@ One-date form: the same numbers from conditional aggregates over
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,10 +29,9 @@ _OUT = ["dt", "seller_id", "seller_name", "revenue", "moving_avg_7d", "drop_pct"
 
 def with_moving_window(daily: DataFrame, days: int = S.MOVING_AVG_DAYS) -> DataFrame:
     """adds the sum ``win_sum`` and count ``win_n`` of revenue over [dt - days, dt - 1]."""
-    w = (Window.partitionBy("seller_id").orderBy(F.unix_date("dt"))
-         .rangeBetween(-days, -1))
-    return (daily.withColumn("win_sum", F.sum("revenue").over(w))
-                 .withColumn("win_n", F.count("revenue").over(w)))
+    w = Window.partitionBy("seller_id").orderBy("_day").rangeBetween(-days, -1)
+    return (daily.withColumn("_day", F.unix_date("dt"))      # one column: both sums share one Window
+                 .withColumns({"win_sum": F.sum("revenue").over(w), "win_n": F.count("revenue").over(w)}).drop("_day"))
 
 
 def moving_avg_7d(fact: DataFrame, days: int = S.MOVING_AVG_DAYS) -> DataFrame:
@@ -52,9 +53,16 @@ def _flag_and_name(win: DataFrame, dim_seller: DataFrame, threshold) -> DataFram
 
 
 def detect_anomalies_all(fact: DataFrame, dim_seller: DataFrame,
-                         threshold=S.ANOMALY_THRESHOLD_PCT, days: int = S.MOVING_AVG_DAYS) -> DataFrame:
-    """K4 for every date at once (backfill form)."""
+                         threshold=S.ANOMALY_THRESHOLD_PCT, days: int = S.MOVING_AVG_DAYS, dates=None) -> DataFrame:
+    """K4 for every date at once (backfill form), or for a set of ``dates``:
+    then only those and the ``days`` before each are read from the fact."""
+    if dates is not None:
+        wanted = {_dt.date.fromisoformat(str(d)) for d in dates}
+        read = {d - _dt.timedelta(days=k) for d in wanted for k in range(days + 1)}
+        fact = fact.where(F.col("dt").isin(sorted(read)))
     win = with_moving_window(seller_daily_revenue(fact), days)
+    if dates is not None:
+        win = win.where(F.col("dt").isin(sorted(wanted)))
     return _flag_and_name(win, dim_seller, threshold)
 
 
@@ -73,16 +81,6 @@ def detect_anomalies(fact: DataFrame, dim_seller: DataFrame, ds,
     return _flag_and_name(win, dim_seller, threshold)
 
 
-def anomalies_with_id(anomalies: DataFrame) -> DataFrame:
-    """Deterministic surrogate ``id`` (row_number over dt, seller_id).
-
-    A global row_number needs one ordered pass; it is computed on the
-    (small) anomaly table only, as a stand-in for the SERIAL column.
-    """
-    w = Window.orderBy("dt", "seller_id")
-    return anomalies.withColumn("id", F.row_number().over(w).cast("int"))
-
-
 def alert_events(anomalies: DataFrame) -> DataFrame:
     """K5: one alert row per analysed date with at least one anomaly."""
     return anomalies.groupBy("dt").agg(F.count(F.lit(1)).cast("int").alias("n_anomalies")).select(

@@ -1,10 +1,8 @@
-"""Equi-joins of the star schema (D1-D4) and the size-checked broadcast.
+"""Equi-joins of the star schema.
 
-A dimension is broadcast only after a bounded check proves it small:
-``limit(bound + 1).count()`` reads at most ``bound + 1`` rows.  Above the
-bound the join is left to the planner (shuffle join; AQE may still switch
-to a broadcast at runtime from measured shuffle sizes, and splits skewed
-partitions).
+No join carries a broadcast hint and no plan depends on a row count: facts are
+aggregated first, and the planner (or AQE, from measured bytes) broadcasts a
+small dimension or splits a skewed partition.
 """
 
 from __future__ import annotations
@@ -12,39 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension (rows) hinted for broadcast.  A seller or product row is
-# well under 200 bytes, so the bound keeps a broadcast under ~100 MB.
-BROADCAST_MAX_ROWS = 500_000
 
-
-def broadcast_bound(spark) -> int:
-    v = spark.conf.get("souk.broadcast.maxRows", None)
-    return int(v) if v else BROADCAST_MAX_ROWS
-
-
-# Session cache of size checks: (application, plan hash, input files, bound) -> fits.
-# Input files are part of the key, so new or rewritten data is checked again.
-_CHECKED: dict[tuple, bool] = {}
-
-
-def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (bounded check, cached per session)."""
-    bound = max_rows if max_rows is not None else broadcast_bound(df.sparkSession)
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(),
-           tuple(sorted(df.inputFiles())), bound)
-    if key not in _CHECKED:
-        _CHECKED[key] = df.limit(bound + 1).count() <= bound
-    return _CHECKED[key]
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
-
-
-def join_dim(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
-             max_rows: int | None = None) -> DataFrame:
-    """fact ⋈ dim on ``on``; the dimension is broadcast when proven small."""
-    return fact.join(maybe_broadcast(dim, max_rows), on, how)
+def join_dim(fact: DataFrame, dim: DataFrame, on, how: str = "inner") -> DataFrame:
+    """fact ⋈ dim on ``on``."""
+    return fact.join(dim, on, how)
 
 
 def join_fact_seller(fact: DataFrame, dim_seller: DataFrame) -> DataFrame:
@@ -60,11 +29,21 @@ def join_fact_product(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
 def orphan_orders(orders: DataFrame, sellers: DataFrame) -> DataFrame:
     """D3: orders whose seller is not known; a NULL seller_id is an orphan.
 
-    ``left_anti`` keeps left rows with a NULL key (no match is possible),
-    which is what LEFT JOIN ... WHERE s.key IS NULL returns.
+    Orders without a seller need no join, so they do not meet in one task.
     """
     keys = sellers.select("seller_id").where(F.col("seller_id").isNotNull())
-    return orders.join(maybe_broadcast(keys), "seller_id", "left_anti")
+    known = F.col("seller_id").isNotNull()
+    return orders.where(known).join(keys, "seller_id", "left_anti").select(orders.columns).unionByName(orders.where(~known))
+
+
+def orphan_count(orders: DataFrame, sellers: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Number of orphan orders (per ``by``): counted per seller before the
+    anti-join, so a seller or NULL holding a third of all orders is one row."""
+    by = by or []
+    per = orders.groupBy(*by, "seller_id").agg(F.count(F.lit(1)).alias("n"))
+    keys = sellers.select("seller_id").where(F.col("seller_id").isNotNull())
+    return per.join(keys, "seller_id", "left_anti").groupBy(*by).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_orphans"))
 
 
 def new_keys(source: DataFrame, target: DataFrame, key: str) -> DataFrame:

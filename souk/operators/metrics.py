@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from souk import schemas as S
 from souk.functions import days_before, not_cancelled
-from souk.operators.joins import fits_broadcast, join_dim
+from souk.operators.joins import join_dim
 
 
 def as_date(ds) -> Column:
@@ -52,6 +52,14 @@ def daily_revenue_all(fact: DataFrame) -> DataFrame:
     return valid_orders(fact).groupBy("dt").agg(*_revenue_aggs())
 
 
+def daily_revenue_of(fact: DataFrame, days: DataFrame) -> DataFrame:
+    """E4 + E5 for the dates of ``days`` (column ``dt``): each has a row,
+    (0, 0) on a day without a valid order or without any order."""
+    return (days.select("dt").join(daily_revenue_all(fact), "dt", "left")
+            .select("dt", F.coalesce("revenue", F.lit(0)).cast(S.REVENUE).alias("revenue"),
+                    F.coalesce("nb_orders", F.lit(0)).alias("nb_orders")))
+
+
 def daily_revenue_zero_filled(fact: DataFrame) -> DataFrame:
     """E4 + E5 for every date of the fact: a day without a valid order gets (0, 0).
 
@@ -77,18 +85,12 @@ def daily_revenue(fact: DataFrame, ds) -> DataFrame:
 def category_breakdown(fact: DataFrame, dim_product: DataFrame, ds=None) -> DataFrame:
     """Revenue per category per day; a NULL category is a group.
 
-    Small product dimension: broadcast join, then one aggregate on
-    (dt, category).  Large one: aggregate per (dt, product_id) first so the
-    join shuffle carries one row per product-day, then roll up.
+    One plan for any size: revenue per (dt, product_id) first, so the join
+    carries one row per product and day, then rolled up by category.
     """
-    valid = valid_orders(fact, ds)
-    cats = dim_product.select("product_id", "category")
-    if fits_broadcast(cats):
-        rows = valid.join(F.broadcast(cats), "product_id")
-        return rows.groupBy("dt", "category").agg(*_revenue_aggs())
-    per_product = valid.groupBy("dt", "product_id").agg(
+    per_product = valid_orders(fact, ds).groupBy("dt", "product_id").agg(
         F.sum("total_amount").alias("rev"), F.count(F.lit(1)).alias("n"))
-    rows = per_product.join(cats, "product_id")
+    rows = join_dim(per_product, dim_product.select("product_id", "category"), "product_id")
     return rows.groupBy("dt", "category").agg(
         F.sum("rev").cast(S.REVENUE).alias("revenue"), F.sum("n").cast("int").alias("nb_orders"))
 
@@ -110,8 +112,10 @@ def customer_activity(fact: DataFrame, ds, window_days: int = S.ACTIVE_WINDOW_DA
     ).select(day.alias("dt"), "active_customers", "dormant_customers")
 
 
-def customer_activity_all(fact: DataFrame, window_days: int = S.ACTIVE_WINDOW_DAYS) -> DataFrame:
-    """E8 for every date of the fact in one job (no dates x customers product).
+def customer_activity_all(fact: DataFrame, window_days: int = S.ACTIVE_WINDOW_DAYS,
+                          dates: DataFrame | None = None) -> DataFrame:
+    """E8 for every date of the fact, or of ``dates`` (column ``dt``), in one
+    job (no dates x customers product).
 
     Per customer, distinct order days with the next order day ``nx``.  Each
     day emits deltas: first day (+1 seen, +1 active); when no order follows
@@ -133,7 +137,7 @@ def customer_activity_all(fact: DataFrame, window_days: int = S.ACTIVE_WINDOW_DA
     )).alias("e")).where(F.col("e").isNotNull()).select("e.*")
     deltas = events.groupBy("at").agg(F.sum("seen").alias("seen"), F.sum("act").alias("act"),
                                       F.lit(False).alias("spine"))
-    spine = days.groupBy(F.col("dt").alias("at")).agg(
+    spine = (days if dates is None else dates).groupBy(F.col("dt").alias("at")).agg(
         F.lit(0).cast("bigint").alias("seen"), F.lit(0).cast("bigint").alias("act"), F.lit(True).alias("spine"))
     per_day = deltas.unionByName(spine).groupBy("at").agg(
         F.sum("seen").alias("seen"), F.sum("act").alias("act"), F.max("spine").alias("spine"))

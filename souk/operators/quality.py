@@ -1,19 +1,16 @@
 """Data-quality rules and constraint checks.
 
-``run_rules`` is the configurable rule runner: each rule is SQL text whose
-first column of the first row is compared with an expected value.  The five
-built-in order rules are also available fused (``order_rule_report``): one
-aggregate over the orders plus one anti-join, evaluated lazily as a
-DataFrame — the gate only pulls the five scalars to the driver.
+A rule is a scalar query with an expected value.  ``rule_frame`` compiles any
+number of rules to ONE lazy frame: every rule is a scalar subquery of a
+single-row query and every comparison a Column expression, so all rules are
+evaluated by one Spark job.  The five order rules are aggregates over the
+predicates of ``souk.functions``; those over the orders share one scan.
 """
 
 from __future__ import annotations
 
-import logging
-import operator as _op
-from collections.abc import Iterable, Mapping
-from dataclasses import dataclass, field
-from typing import Any
+from collections.abc import Callable, Iterable, Mapping
+from typing import Any, NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,135 +18,129 @@ from pyspark.sql import types as T
 
 from souk import schemas as S
 from souk.functions import status_not_in
-from souk.operators.joins import maybe_broadcast, orphan_orders
+from souk.operators.joins import orphan_count
 
-log = logging.getLogger("souk.quality")
-
-COMPARISONS = {"==": _op.eq, "!=": _op.ne, "<=": _op.le, ">=": _op.ge, "<": _op.lt, ">": _op.gt}
-
-REPORT_SCHEMA = T.StructType([
-    T.StructField("name", T.StringType()), T.StructField("actual", T.LongType()),
-    T.StructField("expected", T.LongType()), T.StructField("comparison", T.StringType()),
-    T.StructField("passed", T.BooleanType())])
+# How an actual value is held against the expected one.  A missing value (a
+# query without rows) only passes "!=".
+COMPARE: dict[str, Callable[[Column, Column], Column]] = {
+    "==": lambda a, b: a.eqNullSafe(b),
+    "!=": lambda a, b: ~a.eqNullSafe(b),
+    "<": lambda a, b: F.coalesce(a < b, F.lit(False)),
+    "<=": lambda a, b: F.coalesce(a <= b, F.lit(False)),
+    ">": lambda a, b: F.coalesce(a > b, F.lit(False)),
+    ">=": lambda a, b: F.coalesce(a >= b, F.lit(False)),
+}
 
 
 class DataQualityError(Exception):
-    """Raised when one or more rules fail; the message lists every failure."""
+    """One or more rules do not hold; the message has a line for each."""
 
 
-@dataclass
-class Rule:
+class Rule(NamedTuple):
+    """``query``: SQL text, or a frame; its first column's first row counts."""
+
     name: str
-    sql: str
+    query: str | DataFrame
     expected: Any = 0
     comparison: str = "=="
-    args: Mapping[str, Any] = field(default_factory=dict)
 
 
-def _as_rule(r) -> Rule:
-    if isinstance(r, Rule):
-        return r
-    return Rule(r["name"], r["sql"], r.get("expected", 0), r.get("comparison", "=="), r.get("args", {}))
+def as_rule(spec: Rule | Mapping[str, Any]) -> Rule:
+    """A rule from a mapping with ``name``, ``sql`` and optional ``expected``, ``comparison``."""
+    if not isinstance(spec, Rule):
+        spec = Rule(spec["name"], spec["sql"], spec.get("expected", 0), spec.get("comparison", "=="))
+    if spec.comparison not in COMPARE:
+        raise KeyError(f"rule {spec.name}: comparison {spec.comparison!r} is not one of {sorted(COMPARE)}")
+    return spec
+
+
+def rule_frame(spark: SparkSession, rules: Iterable[Rule | Mapping[str, Any]], params: Mapping[str, Any] | None = None,
+               frames: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """J1, lazy: ``name, actual, expected, comparison, passed`` per rule.
+
+    SQL text may use bound parameters (``:dt``) and frames (``{orders}``).
+    """
+    rules = [as_rule(r) for r in rules]
+    values = []
+    for r in rules:
+        q = spark.sql(r.query, args=dict(params or {}) or None, **dict(frames or {})) if isinstance(r.query, str) else r.query
+        values.append(q.select(q[q.columns[0]]).limit(1).scalar())
+    wide = spark.range(1).select(*[v.alias(f"v{i}") for i, v in enumerate(values)])
+    verdicts = [F.struct(
+        F.lit(r.name).alias("name"), F.col(f"v{i}").cast("bigint").alias("actual"), F.lit(r.expected).cast("bigint").alias("expected"),
+        F.lit(r.comparison).alias("comparison"), COMPARE[r.comparison](F.col(f"v{i}"), F.lit(r.expected)).alias("passed"))
+        for i, r in enumerate(rules)]
+    return wide.select(F.inline(F.array(*verdicts)))
 
 
-def run_rules(spark: SparkSession, rules: Iterable, params: Mapping[str, Any] | None = None,
+def gate(report: DataFrame) -> list[dict]:
+    """The report's rows (one per rule); an error names those that failed."""
+    rows = [r.asDict() for r in report.collect()]
+    broken = [r for r in rows if not r["passed"]]
+    if broken:
+        raise DataQualityError("\n".join(
+            f"[{r['name']}] value={r['actual']}, not {r['comparison']} {r['expected']}" for r in broken))
+    return rows
+
+
+def run_rules(spark: SparkSession, rules: Iterable[Rule | Mapping[str, Any]], params: Mapping[str, Any] | None = None,
               frames: Mapping[str, DataFrame] | None = None, fail_on_first_error: bool = False,
               raise_on_failure: bool = True) -> list[dict]:
-    """Evaluate every rule; return [{name, actual, expected, comparison, passed}].
+    """The evaluated rules, by one job; with ``fail_on_first_error`` one
+    after another, and none after the first that fails."""
+    rules = [as_rule(r) for r in rules]
+    batches = [[r] for r in rules] if fail_on_first_error else [rules] if rules else []
+    out: list[dict] = []
+    for batch in batches:
+        report = rule_frame(spark, batch, params, frames)
+        out += gate(report) if raise_on_failure else [r.asDict() for r in report.collect()]
+        if fail_on_first_error and not out[-1]["passed"]:
+            break
+    return out
 
-    SQL text may use bound parameters (``:dt``) from ``params`` and
-    DataFrame placeholders (``{orders}``) from ``frames``.  An unknown
-    comparison fails before its SQL runs.  No row -> actual None (fails
-    ``==``, passes ``!=``, raises on ordering comparisons).
-    """
-    results, failures = [], []
-    for raw in rules:
-        rule = _as_rule(raw)
-        if rule.comparison not in COMPARISONS:
-            raise KeyError(f"unknown comparison {rule.comparison!r} in rule {rule.name}")
-        cmp = COMPARISONS[rule.comparison]
-        args = {**(params or {}), **dict(rule.args)}
-        df = spark.sql(rule.sql, args=args or None, **dict(frames or {}))
-        row = df.first()
-        actual = row[0] if row is not None else None
-        passed = bool(cmp(actual, rule.expected))
-        results.append({"name": rule.name, "actual": actual, "expected": rule.expected,
-                        "comparison": rule.comparison, "passed": passed})
-        log.info("[DataQuality] %s - %s : value=%s (expected %s %s)",
-                 "PASS" if passed else "FAIL", rule.name, actual, rule.comparison, rule.expected)
-        if not passed:
-            failures.append(f"[{rule.name}] value={actual} expected {rule.comparison} {rule.expected}")
-            if fail_on_first_error:
-                break
-    if failures and raise_on_failure:
-        raise DataQualityError("Data quality check(s) failed:\n" + "\n".join(failures))
-    return results
-
-
-def report_frame(spark: SparkSession, results: list[dict]) -> DataFrame:
-    """Rule results (a handful of scalars) as a DataFrame."""
-    rows = [(r["name"], None if r["actual"] is None else int(r["actual"]), int(r["expected"]),
-             r["comparison"], r["passed"]) for r in results]
-    return spark.createDataFrame(rows, REPORT_SCHEMA)
-
-
-# The five rules of the daily ingest, as SQL text over {orders} / {sellers}.
-BUILTIN_RULE_NAMES = ("not_null_order_id", "no_duplicate_orders", "positive_amount",
-                      "valid_status", "referential_seller")
-
-
-def builtin_rules(day_filter: bool = True) -> list[Rule]:
-    """The ingest rules; with ``day_filter`` they apply to ``dt = :dt``."""
-    w = " AND dt = :dt" if day_filter else ""
-    wo = " AND o.dt = :dt" if day_filter else ""
-    statuses = ",".join(f"'{s}'" for s in S.STATUSES)
-    return [
-        Rule("not_null_order_id", f"SELECT COUNT(*) FROM {{orders}} WHERE order_id IS NULL{w}"),
-        Rule("no_duplicate_orders",
-             "SELECT COUNT(*) - COUNT(DISTINCT order_id) FROM {orders}" + (" WHERE dt = :dt" if day_filter else "")),
-        Rule("positive_amount", f"SELECT COUNT(*) FROM {{orders}} WHERE total_amount <= 0{w}"),
-        Rule("valid_status", f"SELECT COUNT(*) FROM {{orders}} WHERE status NOT IN ({statuses}){w}"),
-        Rule("referential_seller",
-             "SELECT COUNT(*) FROM {orders} o LEFT JOIN {sellers} s ON o.seller_id = s.seller_id "
-             f"WHERE s.seller_id IS NULL{wo}"),
-    ]
-
-
-def _rule_rows(pairs: list[tuple[str, Column]]) -> Column:
-    """stack() of (name, actual) pairs -> long form."""
-    args = []
-    for name, col in pairs:
-        args += [F.lit(name), col.cast("bigint")]
-    return F.stack(F.lit(len(pairs)), *args).alias("name", "actual")
+
+# J2-J5 as aggregates over the orders; J6 needs the sellers.
+ORDER_CHECKS: dict[str, Callable[[], Column]] = {
+    "not_null_order_id": lambda: F.count_if(F.col("order_id").isNull()),
+    "no_duplicate_orders": lambda: F.count(F.lit(1)) - F.count_distinct("order_id"),
+    "positive_amount": lambda: F.count_if(F.col("total_amount") <= 0),
+    "valid_status": lambda: F.count_if(status_not_in("status")),
+}
+SELLER_CHECK = "referential_seller"
+RULE_NAMES = (*ORDER_CHECKS, SELLER_CHECK)
+
+
+def _on(orders: DataFrame, ds) -> DataFrame:
+    from souk.operators.metrics import as_date
+    return orders if ds is None else orders.where(F.col("dt") == as_date(ds))
+
+
+def order_rules(orders: DataFrame, sellers: DataFrame, names: Iterable[str] = RULE_NAMES, ds=None) -> list[Rule]:
+    """J2-J6 as rules for the runner; every one reads only what it needs."""
+    day = _on(orders, ds)
+    return [Rule(n, orphan_count(day, sellers) if n == SELLER_CHECK else day.agg(ORDER_CHECKS[n]())) for n in names]
 
 
 def order_rule_report(orders: DataFrame, sellers: DataFrame, ds=None) -> DataFrame:
-    """J2-J6 fused: one aggregate + one anti-join; one row per rule."""
-    if ds is not None:
-        from souk.operators.metrics import as_date
-        orders = orders.where(F.col("dt") == as_date(ds))
-    counts = orders.agg(
-        F.count_if(F.col("order_id").isNull()).alias("a"),
-        (F.count(F.lit(1)) - F.count_distinct("order_id")).alias("b"),
-        F.count_if(F.col("total_amount") <= 0).alias("c"),
-        F.count_if(status_not_in("status")).alias("d"),
-    ).select(_rule_rows([("not_null_order_id", F.col("a")), ("no_duplicate_orders", F.col("b")),
-                         ("positive_amount", F.col("c")), ("valid_status", F.col("d"))]))
-    orphans = orphan_orders(orders.select("seller_id"), sellers).agg(
-        F.count(F.lit(1)).alias("e")).select(_rule_rows([("referential_seller", F.col("e"))]))
-    return counts.unionByName(orphans).select(
-        "name", "actual", F.lit(0).cast("bigint").alias("expected"), F.lit("==").alias("comparison"),
-        (F.col("actual") == 0).alias("passed"))
+    """J2-J6 fused: one aggregate and one anti-join; one row per rule."""
+    day = _on(orders, ds)
+    counts = day.agg(*[c().alias(n) for n, c in ORDER_CHECKS.items()]).crossJoin(   # one row each
+        orphan_count(day, sellers).toDF(SELLER_CHECK))
+    return _report(counts, [])
 
 
-def gate(report: DataFrame) -> list[dict]:
-    """Collect a (small) report and raise if any rule failed."""
-    rows = [r.asDict() for r in report.collect()]
-    bad = [f"[{r['name']}] value={r['actual']} expected {r['comparison']} {r['expected']}"
-           for r in rows if not r["passed"]]
-    if bad:
-        raise DataQualityError("Data quality check(s) failed:\n" + "\n".join(bad))
-    return rows
+def order_rule_report_by_date(orders: DataFrame, sellers: DataFrame) -> DataFrame:
+    """The report per ``dt``: the gate of a set of dates judges each date alone."""
+    counts = orders.groupBy("dt").agg(*[c().alias(n) for n, c in ORDER_CHECKS.items()])
+    orphans = orphan_count(orders, sellers, by=["dt"]).withColumnRenamed("n_orphans", SELLER_CHECK)
+    return _report(counts.join(orphans, "dt", "left").fillna(0, [SELLER_CHECK]), ["dt"])
+
+
+def _report(counts: DataFrame, by: list[str]) -> DataFrame:
+    rows = F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).cast("bigint").alias("actual")) for n in RULE_NAMES])
+    return counts.select(*by, F.inline(rows)).select(
+        *by, "name", "actual", F.lit(0).cast("bigint").alias("expected"), F.lit("==").alias("comparison"),
+        (F.col("actual") == 0).alias("passed"))
 
 
 def check_primary_key(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -178,8 +169,9 @@ def check_foreign_keys(fact: DataFrame, dims: Mapping[str, DataFrame],
     parts = []
     for col, (dim_name, key) in fks.items():
         keys = dims[dim_name].select(F.col(key).alias(col)).where(F.col(col).isNotNull())
-        missing = fact.select(col).where(F.col(col).isNotNull()).join(maybe_broadcast(keys), col, "left_anti")
-        parts.append(missing.agg(F.count(F.lit(1)).cast("bigint").alias("n_orphans"))
+        counted = fact.select(col).where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+        missing = counted.join(keys, col, "left_anti")       # one row per key value: no hot key
+        parts.append(missing.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_orphans"))
                      .select(F.lit(dim_name).alias("dim"), F.lit(col).alias("fk_column"), "n_orphans"))
     out = parts[0]
     for p in parts[1:]:
@@ -197,5 +189,5 @@ def check_domains(df: DataFrame, varchar: Mapping[str, int] | None = None,
         bad = F.col(c).isNotNull() & F.col(c).try_cast(T.DecimalType(p, s)).isNull()
         pairs.append((f"{c}:numeric({p},{s})", F.count_if(bad)))
     aggs = [col.alias(f"c{i}") for i, (_, col) in enumerate(pairs)]
-    return df.agg(*aggs).select(_rule_rows([(n, F.col(f"c{i}")) for i, (n, _) in enumerate(pairs)])).select(
-        F.col("name").alias("rule"), F.col("actual").alias("n"))
+    rows = F.array(*[F.struct(F.lit(n).alias("rule"), F.col(f"c{i}").cast("bigint").alias("n")) for i, (n, _) in enumerate(pairs)])
+    return df.agg(*aggs).select(F.inline(rows))

@@ -1,18 +1,22 @@
 """Writes: partition replace, upsert, insert-if-absent, generated ids.
 
-Tables are parquet folders partitioned by ``dt`` (facts, analytics) or
-versioned snapshots (dimensions).  Every write either replaces whole
-partition folders or creates a new version folder, so re-running a job
-for the same date gives the same table (idempotent), and a job that dies
-half-way publishes nothing: Spark's file committer only moves task output
-into place at job commit.
+Stored tables are never overwritten in place.  A write puts its rows into a
+new folder and publishes it last, by one row group appended to the table's
+``_manifest``; readers follow the manifest.  A job that fails, at whatever
+point, leaves the table as it was, and running a job again for the same dates
+gives the same table.  ``vacuum`` deletes folders that nothing refers to.
+
+Two layouts: tables of dates (``v=<run>/dt=<date>``; the manifest says which
+run holds a date, or that the date is empty) and snapshots (``v=<number>``).
+The landing zone is plain: one folder per date, written by dynamic overwrite.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,14 +26,25 @@ from pyspark.sql import types as T
 def upsert_frame(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """B3 on frames: source rows replace target rows with the same key; others kept.
 
-    A key occurring twice in the source is an error in the source system;
-    callers dedup first (``quality.dedup``).
+    Of a key that occurs twice in the source one row is taken, the greatest by
+    its other columns, so the result has one row per key whatever the order.
     """
     cols = target.columns
+    source = one_per_key(source.select(*cols), keys)
     kept = target.join(source.select(*keys), keys, "left_anti")
     return kept.select(*cols).unionByName(source.select(*cols))
 
 
+def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
+    """The greatest row of every key by the other columns, in their order; a
+    map-side combined aggregate, so a key with very many copies is no burden."""
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
+    best = df.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_b"))
+    return best.select(*[F.col(c) if c in keys else F.col(f"_b.{c}").alias(c) for c in df.columns])
+
+
 def insert_absent(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """B4 on frames: add source rows whose key is not in the target (DO NOTHING)."""
     cols = target.columns
@@ -68,16 +83,6 @@ def write_partitions(df: DataFrame, path: str, part: str = "dt", spread: list[st
         .partitionBy(part).format(fmt).save(path))
 
 
-def replace_partition(df: DataFrame, path: str, ds, part: str = "dt") -> None:
-    """B2 for one date: the folder ``part=ds`` holds exactly ``df``'s rows afterwards.
-
-    Static overwrite of the partition folder: an empty ``df`` empties the
-    partition (dynamic overwrite would leave the old rows).
-    """
-    rows = df.where(F.col(part) == F.lit(str(ds)).cast("date")).drop(part)
-    rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{part}={ds}")
-
-
 def delete_paths(spark: SparkSession, paths: Iterable[str]) -> int:
     """Remove folders through the Hadoop FileSystem of each path (metadata only)."""
     jvm = spark.sparkContext._jvm
@@ -98,33 +103,81 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(jp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jp))
 
 
+_DATES = T.StructType([T.StructField("seq", T.LongType()), T.StructField("dt", T.StringType()),
+                       T.StructField("run", T.StringType())])
+
+
+def _published(spark: SparkSession, path: str) -> list:
+    """The manifest's rows: (seq, date, run or None); one per date and publication."""
+    if not path_exists(spark, f"{path}/_manifest"):
+        return []
+    return spark.read.schema(_DATES).parquet(f"{path}/_manifest").collect()
+
+
+def current_dates(spark: SparkSession, path: str) -> dict[str, str]:
+    """Date -> run that holds it, for the dates that have rows."""
+    last: dict[str, tuple] = {}
+    for r in _published(spark, path):
+        last[r.dt] = max(last.get(r.dt, (-1, None)), (r.seq, r.run or ""))
+    return {d: run for d, (_, run) in sorted(last.items()) if run}
+
+
+def list_partitions(spark: SparkSession, path: str, part: str) -> list[str]:
+    """Values of the partition folders below ``path`` (folder names only)."""
+    jp = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jp.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(jp)] if fs.exists(jp) else []
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{part}="))
+
+
 def replace_partitions(df: DataFrame, path: str, dates: Iterable, part: str = "dt",
                        spread: list[str] | None = None) -> None:
-    """B2 for a set of dates in one job.
+    """B2 for a set of dates in one job: afterwards each holds exactly ``df``'s rows.
 
-    Dates present in ``df`` are replaced by dynamic overwrite; requested
-    dates that came out empty get their folder removed, so they read as
-    empty — the same outcome as DELETE + INSERT of nothing.  The set of
-    written dates is observed during the write itself (at most one value
-    per requested date), so the input is computed once.
+    The rows go to a new run folder; which dates came out is read from the
+    committed folders, and the manifest then points all requested dates to
+    the run or to nothing.
     """
-    from pyspark.sql import Observation
+    spark, wanted = df.sparkSession, sorted({str(d) for d in dates})
+    if not wanted:
+        return
+    run = uuid.uuid4().hex
+    write_partitions(df.where(F.col(part).isin(wanted)), f"{path}/v={run}", part, spread, n_values=len(wanted))
+    present = set(list_partitions(spark, f"{path}/v={run}", part))
+    seq = max([r.seq for r in _published(spark, path)], default=0) + 1
+    rows = [(seq, d, run if d in present else None) for d in wanted]
+    spark.createDataFrame(rows, _DATES).coalesce(1).write.mode("append").parquet(f"{path}/_manifest")
 
-    wanted = sorted({str(d) for d in dates})
-    seen = Observation(f"written_{part}")
-    rows = df.where(F.col(part).isin(wanted)).observe(
-        seen, F.collect_set(F.col(part).cast("string")).alias("parts"))
-    write_partitions(rows, path, part, spread, n_values=len(wanted))
-    present = set(seen.get.get("parts") or [])
-    empty = [d for d in wanted if d not in present]
-    delete_paths(df.sparkSession, [f"{path.rstrip('/')}/{part}={d}" for d in empty])
+
+def replace_partition(df: DataFrame, path: str, ds, part: str = "dt") -> None:
+    """B2 for one date; an empty ``df`` empties it."""
+    replace_partitions(df, path, [ds], part)
 
 
 def read_partitioned(spark: SparkSession, path: str, schema: T.StructType, ds=None,
-                     part: str = "dt") -> DataFrame:
-    """A4/A5: scan a partitioned table; ``ds`` prunes to one partition folder."""
-    df = spark.read.schema(schema).parquet(path).select(*schema.fieldNames())   # schema order, dt included
-    return df if ds is None else df.where(F.col(part) == F.lit(str(ds)).cast("date"))
+                     part: str = "dt", dates: Iterable | None = None) -> DataFrame:
+    """A4/A5: scan a table of dates; ``ds`` or ``dates`` open only their folders.
+
+    A table that was never written is empty.
+    """
+    wanted = None if ds is None and dates is None else {str(d) for d in ([ds] if dates is None else dates)}
+    held = {d: r for d, r in current_dates(spark, path).items() if wanted is None or d in wanted}
+    if not held:
+        return spark.createDataFrame([], schema)
+    folders = [f"{path}/v={run}/{part}={d}" for d, run in held.items()]
+    return spark.read.schema(schema).option("basePath", path).parquet(*folders).select(*schema.fieldNames())
+
+
+def vacuum(spark: SparkSession, path: str, keep: int = 1) -> int:
+    """Delete run folders that hold no current date and snapshot versions but
+    the ``keep`` newest.  For times when no job reads the table."""
+    runs = set(list_partitions(spark, path, "v"))
+    dated = path_exists(spark, f"{path}/_manifest") and "run" in spark.read.parquet(f"{path}/_manifest").columns
+    if dated:
+        used = set(current_dates(spark, path).values())
+    else:
+        used = {str(v) for v in sorted((int(r) for r in runs if r.isdigit()), reverse=True)[:keep]}
+    return delete_paths(spark, [f"{path}/v={r}" for r in runs - used])
 
 
 def partition_row_count(spark: SparkSession, path: str, schema: T.StructType, ds) -> DataFrame:
@@ -169,7 +222,8 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: list[s
                  schema: T.StructType) -> int:
     """B3 on storage: next version = current snapshot upserted with ``source``."""
     cur = read_snapshot(spark, path, schema)
-    nxt = source.select(*schema.fieldNames()) if cur is None else upsert_frame(cur, source, keys)
+    rows = source.select(*schema.fieldNames())
+    nxt = one_per_key(rows, keys) if cur is None else upsert_frame(cur, rows, keys)
     return write_snapshot(nxt, path)
 
 
@@ -187,21 +241,25 @@ def sequential_id(df: DataFrame, order: list, id_col: str = "id") -> DataFrame:
     """Dense ids 1..N following the total order ``order`` (stand-in for SERIAL).
 
     No global single-task window: rows are range-partitioned on ``order``
-    (sampled boundaries, balanced even when one date holds most rows), each
-    range is numbered locally, and a range's offset is the row count of the
-    ranges before it — one row per range, so the offset table stays tiny.
+    (sampled boundaries, balanced even when one date holds most rows) and
+    STORED with their range number; counts and numbers are then both taken
+    from the stored rows, so they cannot differ.  A range's offset is the row
+    count of the ranges before it: one row per range.
     """
-    from pyspark.sql import Window
+    from souk.session import shared_dir
 
+    spark = df.sparkSession
     order = [F.col(c) if isinstance(c, str) else c for c in order]   # names or sort expressions
-    ranged = df.repartitionByRange(*order).withColumn("_pid", F.spark_partition_id())
-    local = ranged.withColumn("_ix", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)))
-    sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    return (local.join(F.broadcast(offsets), "_pid")
-                 .withColumn(id_col, (F.col("_off") + F.col("_ix")).cast("bigint"))
-                 .drop("_pid", "_ix", "_off"))
+    path = shared_dir(spark, "ranges")
+    df.repartitionByRange(*order).withColumn("_pid", F.spark_partition_id()).write.parquet(path)
+    stored = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("_pid", T.IntegerType())])).parquet(path)
+    before = Window.orderBy("_pid")
+    offsets = stored.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_pid", (F.sum("_n").over(before) - F.col("_n")).alias("_off"))
+    inside = Window.partitionBy("_pid").orderBy(*order)
+    return (stored.withColumn("_ix", F.row_number().over(inside)).join(offsets, "_pid")
+                  .withColumn(id_col, (F.col("_off") + F.col("_ix")).cast("bigint"))
+                  .drop("_pid", "_ix", "_off"))
 
 
 def replace_dates_snapshot(spark: SparkSession, path: str, df: DataFrame, dates: Iterable,
@@ -217,4 +275,4 @@ def replace_dates_snapshot(spark: SparkSession, path: str, df: DataFrame, dates:
     new = df.where(F.col(part).isin(wanted)).select(*schema.fieldNames())
     cur = read_snapshot(spark, path, schema)
     nxt = new if cur is None else cur.where(~F.col(part).isin(wanted)).unionByName(new)
-    return write_snapshot(nxt.repartition(1), path)   # small result: one file; upstream stays parallel
+    return write_snapshot(nxt, path)

@@ -1,5 +1,9 @@
 """Composite jobs: ingest, star build, aggregates, anomalies (K1-K7).
 
+A run over a set of dates gives the tables that runs over each date would
+give: every requested date has its rows (or its zero row), the gate judges
+each date alone, and dates that a late date changes are computed again.
+
 Each job takes a warehouse root (a folder under the shared checkpoint
 root on a cluster) and a date ``ds`` — or, for the backfill forms, a set
 of dates processed in ONE Spark job per table (no per-date loop).  Writes
@@ -8,6 +12,7 @@ replace whole ``dt`` partitions, so re-running a job is idempotent (K6).
 
 from __future__ import annotations
 
+import datetime as _dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,8 +20,9 @@ from pyspark.sql import functions as F
 
 from souk import schemas as S
 from souk.operators import anomaly, metrics, quality, star
-from souk.operators.sinks import (insert_absent_table, read_partitioned, read_snapshot, replace_dates_snapshot,
+from souk.operators.sinks import (current_dates, insert_absent_table, read_partitioned, read_snapshot, replace_dates_snapshot,
                                   replace_partition, replace_partitions, upsert_table, write_snapshot)
+from souk.session import shared_dir
 from souk.sources import landing
 
 
@@ -60,13 +66,26 @@ SNAPSHOT_SCHEMAS = {
 }
 
 
-def read_table(spark: SparkSession, wh: Warehouse, layer: str, table: str, ds=None) -> DataFrame:
+def read_table(spark: SparkSession, wh: Warehouse, layer: str, table: str, ds=None, dates=None) -> DataFrame:
     if (layer, table) in SNAPSHOT_SCHEMAS:
         df = read_snapshot(spark, wh.path(layer, table), SNAPSHOT_SCHEMAS[(layer, table)])
         if df is None:
             df = spark.createDataFrame([], SNAPSHOT_SCHEMAS[(layer, table)])
         return df if ds is None else df.where(F.col("dt") == F.lit(str(ds)).cast("date"))
-    return read_partitioned(spark, wh.path(layer, table), TABLE_SCHEMAS[(layer, table)], ds)
+    return read_partitioned(spark, wh.path(layer, table), TABLE_SCHEMAS[(layer, table)], ds, dates=dates)
+
+
+def loaded_dates(spark: SparkSession, wh: Warehouse, layer: str, table: str) -> list[str]:
+    """Dates with rows, from the table's manifest (no file is opened)."""
+    return sorted(current_dates(spark, wh.path(layer, table)))
+
+
+def latest_date_of(spark: SparkSession, wh: Warehouse, layer: str, table: str) -> str:
+    """A6 on a stored table; Q2: no date -> error."""
+    days = loaded_dates(spark, wh, layer, table)
+    if not days:
+        raise EmptySourceError(f"{layer}.{table} has no loaded date")
+    return days[-1]
 
 
 def replace(spark: SparkSession, wh: Warehouse, layer: str, table: str, df: DataFrame,
@@ -89,122 +108,160 @@ def latest_loaded_date(df: DataFrame):
     return v
 
 
+def _days(spark: SparkSession, dates) -> DataFrame:
+    """The requested dates as a frame (bounded by the calendar)."""
+    return spark.createDataFrame([(str(d),) for d in dates], "dt string").select(F.col("dt").cast("date").alias("dt"))
+
+
 # --- K1 ingest ---------------------------------------------------------------
 
-def ingest(spark: SparkSession, wh: Warehouse, ds=None, dates=None, gate: bool = True) -> dict:
+def ingest(spark: SparkSession, wh: Warehouse, ds=None, dates=None, gate: bool = True,
+           layout: landing.Layout | None = None) -> dict:
     """K1: landing zone -> staging for one date ``ds`` or a set of ``dates``.
 
-    Sellers / products snapshots are upserted; the orders of each date
-    replace that date's partition.  The rules are evaluated on a run copy
-    before publishing (Q7), per date: a failing date raises and nothing of
-    the run is published.
+    Sellers / products snapshots are upserted (one row per key); the orders of
+    each date replace that date.  The gate runs before publishing (Q7) and
+    judges each date alone: the dates that pass are published.  With ``ds`` a
+    failing date raises; with ``dates`` the result lists the failing ones.
+    An order id that staging already holds under another date, or that an
+    earlier date of the run has, fails its date (the primary key of the table).
     """
-    raw_orders = landing.read_raw(spark, wh.raw(), "orders", ds=ds, dates=dates, as_text=True)
-    typed, rejects = landing.stage(raw_orders, "orders")
-    snap_ds = ds if ds is not None else max(str(d) for d in dates)
-    sellers, _ = landing.stage(landing.read_snapshot_raw(spark, wh.raw(), "sellers", snap_ds), "sellers")
-    products, _ = landing.stage(landing.read_snapshot_raw(spark, wh.raw(), "products", snap_ds), "products")
-
-    run = f"{wh.root}/_runs/ingest-{snap_ds}"
-    typed.write.mode("overwrite").parquet(f"{run}/orders")
-    rejects.write.mode("overwrite").parquet(f"{run}/rejects")
-    staged = spark.read.schema(S.ORDERS).parquet(f"{run}/orders")
+    days = [str(ds)] if ds is not None else sorted({str(d) for d in dates})
+    run = shared_dir(spark, "ingest")
+    raw = landing.read_raw(spark, wh.raw(), "orders", dates=days, as_text=True, layout=layout)
+    landing.marked_rows(raw, "orders").withColumn("rejected", F.col("reject_reason") != "").write.partitionBy("rejected").parquet(run)
+    fields = [*S.ORDERS.fields, S.T.StructField("reject_reason", S.T.StringType()), S.T.StructField("raw", S.T.StringType()),
+              S.T.StructField("rejected", S.T.BooleanType())]
+    marked = spark.read.schema(S.T.StructType(fields)).parquet(run)
+    staged = marked.where(~F.col("rejected")).select(*S.ORDER_COLUMNS)
+
+    dims = {}
+    for entity, key in (("sellers", "seller_id"), ("products", "product_id")):
+        rows, _ = landing.stage(landing.read_snapshot_raw(spark, wh.raw(), entity, days[-1], as_text=True, layout=layout), entity)
+        dims[entity] = rows.where(F.col(key).isNotNull())
+    failed: dict[str, list[str]] = {}
     if gate:
-        quality.gate(quality.order_rule_report(staged, sellers))
-
-    upsert_table(spark, wh.path("staging", "sellers"), sellers, ["seller_id"], S.SELLERS)
-    upsert_table(spark, wh.path("staging", "products"), products, ["product_id"], S.PRODUCTS)
-    target = wh.path("staging", "orders")
-    if ds is not None:
-        replace_partition(staged, target, ds)
-    else:
-        replace_partitions(staged, target, dates, spread=["order_id"])
-    return {"run": run}
+        report = quality.order_rule_report_by_date(staged, dims["sellers"]).where(~F.col("passed"))
+        for r in report.unionByName(_reused_ids(spark, wh, staged, days), allowMissingColumns=True).collect():
+            failed.setdefault(str(r["dt"]), []).append(f"[{r['name']}] value={r['actual']}")
+        if ds is not None and failed:
+            raise quality.DataQualityError("\n".join(failed[days[0]]))
+    upsert_table(spark, wh.path("staging", "sellers"), dims["sellers"], ["seller_id"], S.SELLERS)
+    upsert_table(spark, wh.path("staging", "products"), dims["products"], ["product_id"], S.PRODUCTS)
+    passed = [d for d in days if d not in failed]
+    replace_partitions(staged, wh.path("staging", "orders"), passed, spread=["order_id"])
+    return {"run": run, "published": passed, "failed": failed,
+            "rejects": marked.where("rejected").select("raw", "reject_reason")}
+
+
+def _reused_ids(spark: SparkSession, wh: Warehouse, staged: DataFrame, days: list[str]) -> DataFrame:
+    """Per date: order ids that an earlier date of the run, or a date of
+    staging that is not replaced, has too."""
+    rest = [d for d in loaded_dates(spark, wh, "staging", "orders") if d not in set(days)]
+    held = read_table(spark, wh, "staging", "orders", dates=rest).select("order_id", F.lit(None).cast("date").alias("dt"))
+    mine = staged.select("order_id", "dt").where(F.col("order_id").isNotNull())
+    every = mine.unionByName(held).groupBy("order_id").agg(
+        F.collect_set("dt").alias("days"), F.max(F.col("dt").isNull()).alias("old"))
+    extra = F.when(F.col("old"), F.col("days")).otherwise(F.array_except("days", F.array(F.array_min("days"))))
+    return (every.select(F.explode(extra).alias("dt")).groupBy("dt").agg(F.count(F.lit(1)).alias("actual"))
+            .select("dt", F.lit("order_id_of_another_date").alias("name"), "actual"))
 
 
 # --- K2 star -------------------------------------------------------------------
 
 def build_star(spark: SparkSession, wh: Warehouse, ds=None, dates=None) -> int:
-    """K2: dimensions from all of staging, fact partition(s) for ``ds`` / ``dates``.
-
-    ``ds`` None and ``dates`` None -> the latest loaded date (A6).
-    """
-    orders = read_table(spark, wh, "staging", "orders")
-    upsert_table(spark, wh.path("dwh", "dim_seller"), read_table(spark, wh, "staging", "sellers"),
-                 ["seller_id"], S.SELLERS)
-    upsert_table(spark, wh.path("dwh", "dim_product"), read_table(spark, wh, "staging", "products"),
-                 ["product_id"], S.PRODUCTS)
-    cur_cust = read_table(spark, wh, "dwh", "dim_customer")
-    write_snapshot(star.build_dim_customer(cur_cust, orders), wh.path("dwh", "dim_customer"))
+    """K2: dimensions and the fact of ``ds`` / ``dates`` (default: the latest
+    loaded date, A6).  Only these dates are read: no other can bring a new
+    customer or day.  Returns the number of fact rows written (B6)."""
+    days = _chosen(spark, wh, "staging", "orders", ds, dates)
+    orders = read_table(spark, wh, "staging", "orders", dates=days)
+    for entity, dim, key, schema in (("sellers", "dim_seller", "seller_id", S.SELLERS), ("products", "dim_product", "product_id", S.PRODUCTS)):
+        upsert_table(spark, wh.path("dwh", dim), read_table(spark, wh, "staging", entity), [key], schema)
+    write_snapshot(star.build_dim_customer(read_table(spark, wh, "dwh", "dim_customer"), orders), wh.path("dwh", "dim_customer"))
     insert_absent_table(spark, wh.path("dwh", "dim_date"), star.date_rows(orders), "dt", S.DIM_DATE)
+    replace_partitions(star.build_fact_orders(orders), wh.path("dwh", "fact_orders"), days, spread=["order_id"])
+    return read_table(spark, wh, "dwh", "fact_orders", dates=days).count()
 
-    fact_path = wh.path("dwh", "fact_orders")
-    if dates is None:
-        ds = ds if ds is not None else latest_loaded_date(orders)
-        replace_partition(star.build_fact_orders(orders, ds), fact_path, ds)
-        return read_table(spark, wh, "dwh", "fact_orders", ds).count()
-    replace_partitions(star.build_fact_orders(orders), fact_path, dates, spread=["order_id"])
-    return -1
+
+def _chosen(spark: SparkSession, wh: Warehouse, layer: str, table: str, ds, dates) -> list[str]:
+    if dates is not None:
+        return sorted({str(d) for d in dates})
+    return [str(ds) if ds is not None else latest_date_of(spark, wh, layer, table)]
 
 
 # --- K3 aggregates ---------------------------------------------------------------
 
-def aggregate(spark: SparkSession, wh: Warehouse, ds=None, dates=None) -> None:
-    """K3: top sellers, daily revenue (zero row), categories, customer activity."""
-    fact = read_table(spark, wh, "dwh", "fact_orders")
+def aggregate(spark: SparkSession, wh: Warehouse, ds=None, dates=None) -> int:
+    """K3: top sellers, daily revenue, categories, customer activity; every
+    requested date has its revenue and activity row, with or without orders.
+    Returns the number of top seller rows (B6)."""
+    days = _chosen(spark, wh, "dwh", "fact_orders", ds, dates)
+    fact = read_table(spark, wh, "dwh", "fact_orders", dates=days)
     sellers = read_table(spark, wh, "dwh", "dim_seller")
     products = read_table(spark, wh, "dwh", "dim_product")
-    if dates is None:
-        ds = ds if ds is not None else latest_loaded_date(fact)
-        replace(spark, wh, "analytics", "top_sellers", metrics.top_sellers(fact, sellers, ds), ds=ds)
-        replace(spark, wh, "analytics", "daily_revenue", metrics.daily_revenue(fact, ds), ds=ds)
-        replace(spark, wh, "analytics", "category_breakdown", metrics.category_breakdown(fact, products, ds), ds=ds)
-        replace(spark, wh, "analytics", "customer_activity", metrics.customer_activity(fact, ds), ds=ds)
-        return
-    replace(spark, wh, "analytics", "top_sellers", metrics.top_sellers(fact, sellers), dates=dates,
-            spread=["seller_id"])
-    replace(spark, wh, "analytics", "daily_revenue", metrics.daily_revenue_zero_filled(fact), dates=dates)
-    replace(spark, wh, "analytics", "category_breakdown", metrics.category_breakdown(fact, products), dates=dates)
-    replace(spark, wh, "analytics", "customer_activity", metrics.customer_activity_all(fact), dates=dates)
+    replace(spark, wh, "analytics", "top_sellers", metrics.top_sellers(fact, sellers), dates=days, spread=["seller_id"])
+    replace(spark, wh, "analytics", "daily_revenue", metrics.daily_revenue_of(fact, _days(spark, days)), dates=days)
+    replace(spark, wh, "analytics", "category_breakdown", metrics.category_breakdown(fact, products), dates=days)
+    refresh_activity(spark, wh, days)
+    return read_table(spark, wh, "analytics", "top_sellers", dates=days).count()
+
+
+def refresh_activity(spark: SparkSession, wh: Warehouse, days: list[str]) -> None:
+    """E8 of ``days`` from all orders up to the last of them."""
+    upto = [d for d in loaded_dates(spark, wh, "dwh", "fact_orders") if d <= max(days)]
+    fact = read_table(spark, wh, "dwh", "fact_orders", dates=upto)
+    replace(spark, wh, "analytics", "customer_activity",
+            metrics.customer_activity_all(fact, dates=_days(spark, days)), dates=days)
 
 
 # --- K4 / K5 anomalies --------------------------------------------------------------
 
 def detect(spark: SparkSession, wh: Warehouse, ds=None, dates=None,
            threshold=S.ANOMALY_THRESHOLD_PCT) -> int:
-    """K4 + K5: anomalies of ``ds`` (or of ``dates``) and the alert rows."""
-    fact = read_table(spark, wh, "dwh", "fact_orders")
+    """K4 + K5: anomalies of ``ds`` (or of ``dates``) and the alert rows; reads
+    those dates and the look-back before each.  Returns the anomalies written."""
+    days = _chosen(spark, wh, "dwh", "fact_orders", ds, dates)
+    read = {str(_dt.date.fromisoformat(d) - _dt.timedelta(days=k)) for d in days for k in range(S.MOVING_AVG_DAYS + 1)}
+    fact = read_table(spark, wh, "dwh", "fact_orders", dates=read)
     sellers = read_table(spark, wh, "dwh", "dim_seller")
-    if dates is None:
-        ds = ds if ds is not None else latest_loaded_date(fact)
-        replace(spark, wh, "analytics", "anomalies", anomaly.detect_anomalies(fact, sellers, ds, threshold), ds=ds)
-        written = read_table(spark, wh, "analytics", "anomalies", ds)
-        replace(spark, wh, "analytics", "alerts", anomaly.alert_events(written), ds=ds)
-        return written.count()
-    found = anomaly.detect_anomalies_all(fact, sellers, threshold)
-    replace(spark, wh, "analytics", "anomalies", found, dates=dates, spread=["seller_id"])
-    written = read_table(spark, wh, "analytics", "anomalies").where(F.col("dt").isin([str(d) for d in dates]))
-    replace(spark, wh, "analytics", "alerts", anomaly.alert_events(written), dates=dates)
-    return -1
+    replace(spark, wh, "analytics", "anomalies", anomaly.detect_anomalies_all(fact, sellers, threshold, dates=days),
+            dates=days, spread=["seller_id"])
+    written = read_table(spark, wh, "analytics", "anomalies", dates=days)
+    replace(spark, wh, "analytics", "alerts", anomaly.alert_events(written), dates=days)
+    return written.count()
 
 
 # --- K6 / K7 -------------------------------------------------------------------------
 
 def run_day(spark: SparkSession, wh: Warehouse, ds) -> int:
-    """K1-K4 for one date, in order."""
-    ingest(spark, wh, ds=ds)
-    build_star(spark, wh, ds=ds)
-    aggregate(spark, wh, ds=ds)
-    return detect(spark, wh, ds=ds)
+    """K1-K4 for one date, in order; later dates that it changes follow."""
+    return backfill(spark, wh, [ds], strict=True)["anomalies"]
+
 
+def backfill(spark: SparkSession, wh: Warehouse, dates, strict: bool = False) -> dict:
+    """K7: K1-K4 over a set of dates, one job per table (no loop over dates).
 
-def backfill(spark: SparkSession, wh: Warehouse, dates) -> None:
-    """K7: K1-K4 over a set of dates, one job per table (no loop over dates)."""
+    Dates that fail the gate are listed and left as they were; with ``strict``
+    they raise.  Loaded dates whose results depend on the new ones (anomalies
+    of the 7 days after, activity of all later days) are computed again, so
+    the tables do not depend on the order in which dates arrive.
+    """
     dates = sorted({str(d) for d in dates})
-    ingest(spark, wh, dates=dates)
-    build_star(spark, wh, dates=dates)
-    aggregate(spark, wh, dates=dates)
-    detect(spark, wh, dates=dates)
+    got = ingest(spark, wh, ds=dates[0]) if strict and len(dates) == 1 else ingest(spark, wh, dates=dates)
+    days = got["published"]
+    out = {"failed": got["failed"], "published": days, "fact_rows": 0, "anomalies": 0}
+    if not days:
+        return out
+    out["fact_rows"] = build_star(spark, wh, dates=days)
+    aggregate(spark, wh, dates=days)
+    loaded = [d for d in loaded_dates(spark, wh, "dwh", "fact_orders") if d not in set(days)]
+    after = {str(_dt.date.fromisoformat(d) + _dt.timedelta(days=k)) for d in days for k in range(1, S.MOVING_AVG_DAYS + 1)}
+    out["anomalies"] = detect(spark, wh, dates=days)
+    if near := [d for d in loaded if d in after]:
+        detect(spark, wh, dates=near)
+    if later := [d for d in loaded if d > days[0]]:
+        refresh_activity(spark, wh, later)
+    return out
 
 
 def table_summary(spark: SparkSession, wh: Warehouse) -> DataFrame:

@@ -34,7 +34,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         if master.startswith("local"):
             for k, v in _LOCAL_CONF.items():
                 builder = builder.config(k, v)
-            builder = builder.config("spark.driver.memory", os.environ.get("SOUK_DRIVER_MEMORY", "16g"))
+            if memory := os.environ.get("SOUK_DRIVER_MEMORY"):
+                builder = builder.config("spark.driver.memory", memory)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
@@ -49,8 +50,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and scratch tables.
 
     Read from the session (``spark.checkpoint.dir`` or the context's
-    checkpoint dir); only when neither is set, create one (tests) and make
-    it the context's checkpoint dir.
+    checkpoint dir).  With a local master (tests) one is made when neither is
+    set; on a cluster that is an error, as no folder would be shared.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
@@ -60,6 +61,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return root
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="souk-ckpt-"))
     return spark.sparkContext.getCheckpointDir()
 

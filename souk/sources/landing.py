@@ -1,23 +1,27 @@
 """Raw landing zone.
 
-Layout: ``{base}/{entity}/dt=YYYY-MM-DD/part-*.json`` with one JSON record
-per line (splittable; the source system's one-array-per-file format is
-read with ``multiline=True``).  Orders are a daily partition; sellers and
-products are full daily snapshots, read from the latest ``dt`` <= ds.
-
-Staging (C1) reads every field as text and casts with ``try_cast``, so a
-malformed value becomes a reject row instead of a silent NULL, and a
-record whose own ``dt`` differs from its folder's date is rejected (Q8).
+Layout: ``{base}/{entity}/folder_dt=YYYY-MM-DD/part-*.json`` with one JSON
+record per line (splittable); a source that lands one array per file under
+``dt=`` is read with ``Layout(multiline=True, folder="dt")``.  Orders are a
+daily partition; sellers and products are full daily snapshots, read from the
+latest folder up to ds, which is found by listing folders.
+
+Staging (C1) reads every field as text and casts with ``try_cast``.  What
+cannot be staged is a reject row with its reason: a malformed value, an
+unparsable line, a record without ``dt`` or under another date's folder (Q8).
+Staged rows and rejects together are all landed records.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from typing import NamedTuple
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from souk import schemas as S
-from souk.operators.sinks import write_partitions
+from souk.operators.sinks import list_partitions, write_partitions
 
 ENTITY_SCHEMAS = {"orders": S.ORDERS, "sellers": S.SELLERS, "products": S.PRODUCTS}
 
@@ -42,54 +46,82 @@ def land(df: DataFrame, base: str, entity: str, ds=None, spread: list[str] | Non
     write_partitions(rows, f"{base}/{entity}", part="folder_dt", spread=spread, fmt="json", n_values=n_dates)
 
 
+class Layout(NamedTuple):
+    """How an entity lies in the landing zone."""
+
+    multiline: bool = False          # one JSON array per file
+    folder: str = "folder_dt"        # name of the date folders
+
+
+CORRUPT = "_corrupt_record"
+
+
 def read_raw(spark: SparkSession, base: str, entity: str, ds=None, as_text: bool = False,
-             multiline: bool = False, dates=None) -> DataFrame:
+             multiline: bool = False, dates=None, layout: Layout | None = None) -> DataFrame:
     """A1-A3: raw records of ``entity`` for one date, a set of dates, or all.
 
-    The folder date is a partition column (``folder_dt``), distinct from
-    the record's own ``dt`` field, so both are kept; a date filter prunes
-    folders at listing time.  Returned as ``path_dt``.
+    The folder date comes from the file's path as ``path_dt``, apart from the
+    record's own ``dt``, so both are kept.  With dates only their folders are
+    opened.  As text, an unparsable line keeps its text in ``_corrupt_record``.
     """
+    layout = layout or Layout(multiline)
     schema = ENTITY_SCHEMAS[entity]
     fields = (text_schema(schema) if as_text else schema).fields
-    read_schema = T.StructType(fields + [T.StructField("folder_dt", T.DateType())])
-    df = (spark.read.schema(read_schema).option("multiLine", str(multiline).lower())
-          .json(f"{base}/{entity}"))
-    if ds is not None:
-        df = df.where(F.col("folder_dt") == F.lit(str(ds)).cast("date"))
-    elif dates is not None:
-        df = df.where(F.col("folder_dt").isin(sorted({str(d) for d in dates})))
-    return df.withColumnRenamed("folder_dt", "path_dt")
-
-
-def latest_snapshot_date(spark: SparkSession, base: str, entity: str, ds) -> Column:
-    """Latest folder date <= ds of a snapshot entity (lazy scalar)."""
-    paths = read_raw(spark, base, entity).select("path_dt").where(F.col("path_dt") <= F.lit(str(ds)).cast("date"))
-    return paths.select(F.max("path_dt")).scalar()
-
-
-def read_snapshot_raw(spark: SparkSession, base: str, entity: str, ds) -> DataFrame:
+    if as_text:
+        fields = [*fields, T.StructField(CORRUPT, T.StringType())]
+    root = f"{base}/{entity}"
+    days = landed_days(spark, base, entity, layout)
+    if ds is not None or dates is not None:
+        wanted = {str(d) for d in ([ds] if ds is not None else dates)}
+        days = [d for d in days if d in wanted]
+    if not days:
+        return spark.createDataFrame([], T.StructType([*fields, T.StructField("path_dt", T.DateType())]))
+    reader = spark.read.schema(T.StructType(fields)).option("multiLine", str(layout.multiline).lower())
+    if as_text:
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
+    # each folder is a root of its own, so its name adds no column beside the record's dt
+    found = reader.json([f"{root}/{layout.folder}={d}" for d in days])
+    day = F.regexp_extract(F.col("_metadata.file_path"), rf"/{layout.folder}=(\d{{4}}-\d{{2}}-\d{{2}})/", 1)
+    return found.select("*", day.cast("date").alias("path_dt"))
+
+
+def landed_days(spark: SparkSession, base: str, entity: str, layout: Layout | None = None) -> list[str]:
+    """Dates that have a folder, by listing (no file is opened)."""
+    return list_partitions(spark, f"{base}/{entity}", (layout or Layout()).folder)
+
+
+def latest_snapshot_date(spark: SparkSession, base: str, entity: str, ds, layout: Layout | None = None) -> str | None:
+    """Latest folder date up to ``ds`` of a snapshot entity."""
+    return max((d for d in landed_days(spark, base, entity, layout) if d <= str(ds)), default=None)
+
+
+def read_snapshot_raw(spark: SparkSession, base: str, entity: str, ds, as_text: bool = False,
+                      layout: Layout | None = None) -> DataFrame:
     """A2/A3: the full snapshot of sellers/products as of ``ds``."""
-    all_rows = read_raw(spark, base, entity)
-    return all_rows.where(F.col("path_dt") == latest_snapshot_date(spark, base, entity, ds))
+    return read_raw(spark, base, entity, dates=[latest_snapshot_date(spark, base, entity, ds, layout)], as_text=as_text, layout=layout)
 
 
 def stage(raw_text: DataFrame, entity: str) -> tuple[DataFrame, DataFrame]:
-    """Typed projection of text records -> (typed rows, rejects with a reason).
+    """Typed projection of text records -> (typed rows, rejects with a reason)."""
+    marked = marked_rows(raw_text, entity)
+    good = marked.where(F.col("reject_reason") == "").select(*ENTITY_SCHEMAS[entity].fieldNames())
+    return good, marked.where(F.col("reject_reason") != "").select("raw", "reject_reason")
 
-    A field is bad when its text is present but does not cast to the
-    declared type (``try_cast`` -> NULL).  Orders also need ``dt`` to equal
-    the folder date (``path_dt``).
-    """
+
+def marked_rows(raw_text: DataFrame, entity: str) -> DataFrame:
+    """Every record typed, with ``reject_reason`` ('' if it can be staged) and its text."""
     schema = ENTITY_SCHEMAS[entity]
+    has = set(raw_text.columns)
     typed = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields]
     checks = [F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(),
                      F.lit(f"bad {f.name}")) for f in schema.fields]
-    if entity == "orders" and "path_dt" in raw_text.columns:
-        checks.append(F.when(F.col("dt").try_cast("date") != F.col("path_dt"), F.lit("dt differs from folder")))
-    reason = F.concat_ws("; ", *checks)
-    marked = raw_text.select(*typed, reason.alias("reject_reason"),
-                             F.to_json(F.struct(*[F.col(f.name) for f in schema.fields])).alias("raw"))
-    good = marked.where(F.col("reject_reason") == "").select(*schema.fieldNames())
-    bad = marked.where(F.col("reject_reason") != "").select("raw", "reject_reason")
-    return good, bad
+    text = F.to_json(F.struct(*[F.col(f.name) for f in schema.fields]))
+    if CORRUPT in has:
+        checks.append(F.when(F.col(CORRUPT).isNotNull(), F.lit("not a record")))
+        text = F.coalesce(F.col(CORRUPT), text)
+    if entity == "orders" and "path_dt" in has:
+        other = F.col("dt").isNull() | (F.col("dt").try_cast("date") != F.col("path_dt"))
+        if CORRUPT in has:
+            other = other & F.col(CORRUPT).isNull()
+        checks.append(F.when(other, F.lit("dt differs from folder")))
+    return raw_text.select(*typed, F.concat_ws("; ", *checks).alias("reject_reason"), text.alias("raw"))

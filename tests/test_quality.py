@@ -57,8 +57,7 @@ def test_builtin_rules_fused_equal_sql_rules(spark):
     sellers = spark.createDataFrame([("1", "s")], "seller_id string, name string")
     fused = {r["name"]: r["actual"] for r in quality.order_rule_report(o, sellers).collect()}
     sql = {r["name"]: r["actual"] for r in quality.run_rules(
-        spark, quality.builtin_rules(day_filter=True), params={"dt": "2024-01-01"},
-        frames={"orders": o, "sellers": sellers}, raise_on_failure=False)}
+        spark, quality.order_rules(o, sellers, ds="2024-01-01"), raise_on_failure=False)}
     assert fused == sql
     # NULL order_id twice: not-null rule 2; both NULLs count as surplus, plus one copy of "a"
     assert fused["not_null_order_id"] == 2 and fused["no_duplicate_orders"] == 3
