@@ -259,7 +259,8 @@ def backfill(spark: SparkSession, wh: Warehouse, dates, strict: bool = False) ->
     out["anomalies"] = detect(spark, wh, dates=days)
     if near := [d for d in loaded if d in after]:
         detect(spark, wh, dates=near)
-    if later := [d for d in loaded if d > days[0]]:
+    done = [str(r.dt) for r in read_table(spark, wh, "analytics", "customer_activity").select("dt").collect()]
+    if later := sorted(d for d in set(done) - set(days) if d > days[0]):      # dates without orders too
         refresh_activity(spark, wh, later)
     return out
 
