@@ -15,14 +15,14 @@ rank of that bit), with a 32-bit fingerprint and the location (shard, chunk,
 place, number of ids) per slot.  A lookup computes one slot, compares one
 fingerprint and reads one location.
 
-Encoding.  No token of the byte-level vocabulary goes over a single space
-between two non-spaces, so a text is encoded in units cut there, and a task
-encodes a unit that it has met before only once.
+Encoding.  No token of the byte-level vocabulary goes over a single space or
+line feed between two non-spaces, so a text is encoded in units cut there, and a
+worker encodes a unit that it remembers only once.
 """
 
 from __future__ import annotations
 
-import re
+import os
 import zlib
 from functools import lru_cache
 
@@ -37,44 +37,88 @@ from souk.llm.common import mix64, saved
 WIDTH = 2                       # bytes of a stored id; 65,536 ids at most
 CHUNK_IDS = 1 << 20             # ids of a chunk; one text is never split
 BUCKET_KEYS = 16_384            # keys of an index bucket, on average
-CACHE_UNITS = 200_000           # units whose ids a task remembers
+CACHE_UNITS = 800_000           # units whose ids a task remembers
 PIECE_CHARS = 1 << 20           # text encoded at a time
 GAMMA = 2.0                     # bits per key and level
 LEVELS = 48
 
 _U = np.uint64
-_CUT = re.compile(r" (?=\S)(?<=\S )")
+SPACE = "\u0120"                # how the byte-level rule writes a space
 
 
 class Encoder:
-    """Ids of whole texts by the tokenizers library, in memorised units."""
+    """Ids of whole texts by the tokenizers library, in memorised units.
+
+    A unit goes from one space or line feed between two non-spaces to the next:
+    the byte-level rule joins a space to what follows and keeps a lone line
+    feed apart, so nothing goes over these places.  Units are known by what
+    follows the space (or by the line feed and what follows it).
+    """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")     # Spark runs the tasks in parallel
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
         self.model = Tokenizer.from_file(path)
         self.model.no_truncation()
         self.model.no_padding()
+        if not isinstance(self.model.pre_tokenizer, ByteLevel) or self.model.normalizer is not None:
+            raise ValueError("not a byte-level tokenizer; its texts can't be cut into units")
         if self.model.get_vocab_size(with_added_tokens=True) > 1 << 8 * WIDTH:
             raise ValueError("the vocabulary does not fit the stored width")
         self.known: dict[str, bytes] = {}
 
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        out = []
+        for i in range(0, len(texts), 20_000):
+            out += [np.array(e.ids, dtype="<u2").tobytes()
+                    for e in self.model.encode_batch(texts[i:i + 20_000], add_special_tokens=False)]
+        return out
+
+    def _tail_ids(self, names: list[str]) -> list[bytes]:
+        """Ids of units after the first.  A unit of ASCII letters is one word of
+        the byte-level rule, so the model's own merge step gives its ids."""
+        model, out, rest = self.model.model, {}, []
+        for n in names:
+            if n.isascii() and n.isalpha():
+                out[n] = np.array([t.id for t in model.tokenize(SPACE + n)], dtype="<u2").tobytes()
+            else:
+                rest.append(n)
+        out.update(zip(rest, self._ids([n if n[:1] == "\n" else " " + n for n in rest])))
+        return [out[n] for n in names]
+
+    @staticmethod
+    def units(text: str) -> list[str]:
+        """The text cut at safe places; all but the first without their space."""
+        parts = text.replace("\n", " \n").split(" ")
+        flat = text.replace("\n", " ")
+        if flat == " ".join(flat.split()):
+            return parts
+        out = [parts[0]]
+        for p in parts[1:]:
+            before = out[-1]
+            bare = p[1:] if p[:1] == "\n" else p
+            if before and not before[-1].isspace() and bare and not bare[0].isspace():
+                out.append(p)
+            else:                       # not a safe place: put back what stood there
+                out[-1] = before + (p if p[:1] == "\n" else " " + p)
+        return out
+
     def encode(self, texts: list[str], end_id: int) -> list[bytes]:
         """Little-endian ids of every text and ``end_id``."""
-        units = []
-        for t in texts:
-            first, *rest = _CUT.split(t)
-            units.append([first, *[" " + u for u in rest]])
-        fresh = list(set().union(*units).difference(self.known))
-        if len(self.known) + len(fresh) > CACHE_UNITS:
+        if len(self.known) > CACHE_UNITS:
             self.known.clear()
-            fresh = list(set().union(*units))
-        for i in range(0, len(fresh), 20_000):
-            part = fresh[i:i + 20_000]
-            for unit, enc in zip(part, self.model.encode_batch(part, add_special_tokens=False)):
-                self.known[unit] = np.array(enc.ids, dtype="<u2").tobytes()
+        get, units, got = self.known.get, [], []
+        for t in texts:
+            head, *tail = self.units(t)
+            units.append((head, tail))
+            got.append(list(map(get, tail)))
+        fresh = list({u for (_, tail), ids in zip(units, got) for u, i in zip(tail, ids) if i is None})
+        self.known.update(zip(fresh, self._tail_ids(fresh)))
+        heads = self._ids([head for head, _ in units])
         end = np.array([end_id], dtype="<u2").tobytes()
-        get = self.known.__getitem__
-        return [b"".join(map(get, u)) + end for u in units]
+        return [h + b"".join([i if i is not None else get(u) for u, i in zip(tail, ids)]) + end
+                for h, (_, tail), ids in zip(heads, units, got)]
 
 
 @lru_cache(maxsize=2)
