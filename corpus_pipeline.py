@@ -39,7 +39,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the smallest id of every group of near duplicates (5-word
     shingles, similarity 0.8).  Rows without an id stay."""
-    groups = ngram_join.near_duplicates(docs, n=5, similarity=80, n2=2)
+    groups = ngram_join.near_duplicates(docs, n=5, similarity=80)
     return _without(docs, groups.where("component_id <> doc_id").select("doc_id"))
 
 

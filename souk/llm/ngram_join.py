@@ -11,9 +11,11 @@ of a set are the contents of every choice of ``n2 - k2`` partitions of every
 group.  Every linking pair shares a signature; nothing is probabilistic but
 64-bit hashes standing for shingles and sets.
 
-Empty choices would put unrelated sets together, so they are not emitted: a
-set that has one repeats the partitioning under another hash, as any partner
-that agrees with it there has one too (the last repetition emits them).
+Empty choices would put unrelated sets together, so they are not emitted.
+There are ``spare`` more groups than needed, so every linking pair agrees in
+more than ``spare`` groups; a set with empty choices in more than that many
+groups repeats the partitioning under another hash, as any partner that agrees
+with it only there must do too (the last repetition emits empty choices).
 
 Equal sets are one node from the start.  In each shared signature the nodes
 are first held against the signature's smallest node only; pairs whose ends
@@ -37,7 +39,9 @@ from souk.llm.common import drop_saved, mix64, saved, shingle_hashes, word_hashe
 from souk.llm.components import connected_components
 
 BAND_RATIO = 1.5        # upper over lower end of a size band
+SPARE = 5               # one spare group for as many needed ones
 REPEATS = 8             # partitionings tried for sets with an empty choice
+BITMAP_BITS = 27        # size of the filter of shared signatures (16 MB)
 BROADCAST_IDS = 1_000_000   # ids (8 bytes each) that may be broadcast; checked by a count
 BLOCK = 2_000           # nodes of a signature that are held against each other at a time
 SKETCH_WORDS = 32       # 64-bit words of a parity sketch
@@ -82,20 +86,21 @@ def signatures(s: np.ndarray, similarity: int, n2: int, k2: int) -> np.ndarray:
         if k == 0:          # only equal sets link, and those are one node already
             continue
         n1 = -(-(k + 1) // (k2 + 1))
+        spare = 1 + n1 // SPARE
+        n1 += spare
         for turn in range(REPEATS):
             v = s if turn == 0 else np.sort(mix64(s + _U(turn)))
             cut = np.concatenate(([0], np.searchsorted(v, _edges(n1 * n2)), [size]))
             run = np.concatenate((np.zeros(1, dtype=_U), np.cumsum(mix64(v ^ _U(0x5DEECE66D)))))
             sums, counts = np.diff(run[cut]).reshape(n1, n2), np.diff(cut).reshape(n1, n2)
-            empty = False
+            empty = np.zeros(n1, dtype=bool)
             place = np.arange(n1, dtype=_U) * _U(64) + _U((band * REPEATS + turn) << 40)
             for c, choice in enumerate(choices):
                 sig = mix64(sums[:, choice].sum(axis=1, dtype=_U) * _U(0x9E3779B97F4A7C15) + mix64(place + _U(c)))
                 full = counts[:, choice].sum(axis=1) > 0
-                some = not full.all()
-                empty |= some
-                out.append(sig[full] if some and turn < REPEATS - 1 else sig)
-            if not empty:
+                empty |= ~full
+                out.append(sig[full] if turn < REPEATS - 1 else sig)
+            if empty.sum() <= spare:
                 break
     return np.concatenate(out) if out else np.empty(0, dtype=_U)
 
@@ -132,8 +137,26 @@ def _keys(n: int):
     return run
 
 
-def _signature_rows(n: int, similarity: int, n2: int, k2: int):
+def _bitmap(shared: DataFrame) -> bytes:
+    """``2**BITMAP_BITS`` bits, set where a shared signature may be: a filter of
+    fixed size that leaves out most unshared signatures before they are moved."""
+    low = BITMAP_BITS - 8
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        bits = np.zeros(1 << low, dtype=np.uint8)
+        bits[pdf["spot"].to_numpy() & ((1 << low) - 1)] = 1
+        return pd.DataFrame({"part": [int(pdf["part"].iloc[0])], "bits": [np.packbits(bits).tobytes()]})
+
+    spots = shared.select(F.shiftrightunsigned("sig", 64 - BITMAP_BITS).alias("spot")).distinct()
+    parts = (spots.withColumn("part", F.shiftright("spot", low).cast("int")).groupBy("part")
+             .applyInPandas(pack, "part int, bits binary").collect())
+    found = {r.part: bytes(r.bits) for r in parts}
+    return b"".join(found.get(i, bytes(1 << low - 3)) for i in range(256))
+
+
+def _signature_rows(n: int, similarity: int, n2: int, k2: int, bitmap=None):
+    """Signatures with their set's key; with a (broadcast) bitmap only those it has."""
     def run(batches):
+        keep = None if bitmap is None else np.frombuffer(bitmap.value, dtype=np.uint8)
         seen: set[int] = set()
         for pdf in batches:
             for part in _pieces(pdf):
@@ -146,6 +169,9 @@ def _signature_rows(n: int, similarity: int, n2: int, k2: int):
                         seen.clear()
                     seen.add(k)
                     got = signatures(s, similarity, n2, k2)
+                    if keep is not None:
+                        spot = (got >> _U(64 - BITMAP_BITS)).astype(np.int64)
+                        got = got[(keep[spot >> 3] >> (7 - (spot & 7)) & 1).astype(bool)]
                     sig.append(got.astype(np.int64))
                     key.append(np.full(len(got), k, dtype=np.int64))
                 if sig:
@@ -245,11 +271,13 @@ def near_duplicates(df: DataFrame, n: int = 5, similarity: int = 80, n2: int = 3
     nodes = (narrow.where("set_key is not null and doc_id is not null")
              .groupBy("set_key").agg(F.min("doc_id").alias("rep")))
 
-    sigs = (docs.where("doc_id is not null").mapInPandas(
-        _signature_rows(n, similarity, n2, k2), "sig long, set_key long"))
-    shared = (sigs.groupBy("sig").agg(F.min("set_key").alias("low"), F.max("set_key").alias("high"))
-              .where("low <> high").select("sig", "low"))
-    members = saved(sigs.join(shared, "sig").select("sig", "low", "set_key").distinct(), "members")
+    with_id, row = docs.where("doc_id is not null"), "sig long, set_key long"
+    sigs = with_id.mapInPandas(_signature_rows(n, similarity, n2, k2), row)
+    shared = saved(sigs.groupBy("sig").agg(F.min("set_key").alias("low"), F.max("set_key").alias("high"))
+                   .where("low <> high").select("sig", "low"), "shared")
+    bitmap = spark.sparkContext.broadcast(_bitmap(shared))
+    again = with_id.mapInPandas(_signature_rows(n, similarity, n2, k2, bitmap), row)
+    members = saved(again.join(shared, "sig").select("sig", "low", "set_key").distinct(), "members")
     keys = members.select("set_key").distinct()
     wanted = saved(nodes.join(keys, "set_key").select("set_key", F.col("rep").alias("doc_id")), "wanted")
     few = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
@@ -264,7 +292,7 @@ def near_duplicates(df: DataFrame, n: int = 5, similarity: int = 80, n2: int = 3
     if not rest.isEmpty():
         links = links.union(_verified(rest, sets, similarity))
         label = connected_components(links, "a", "b")
-    drop_saved(spark, members, wanted, sets, tested, rest)
+    drop_saved(spark, shared, members, wanted, sets, tested, rest)
 
     grouped = (nodes.join(label, F.col("set_key") == F.col("node"), "left")
                .select("set_key", "rep", F.coalesce("component", "set_key").alias("component")))
