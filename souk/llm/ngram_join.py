@@ -222,19 +222,28 @@ def _undecided(similarity: int):
                 continue
             least = np.bitwise_count(bits[other] ^ bits[i]).sum(axis=1, dtype=np.int64)
             for j in other[least * (100 + similarity) <= (100 - similarity) * (size[other] + size[i])]:
-                yield min(key[i], key[j]), max(key[i], key[j])
+                yield int(min(key[i], key[j])), int(max(key[i], key[j]))
 
     def run(batches):
         rest, by = None, ["sig", "bi", "bj"]
+        seen: set[tuple[int, int]] = set()
+
+        def fresh(found) -> list[tuple[int, int]]:
+            if len(seen) > _SEEN_MAX:
+                seen.clear()
+            out = sorted(set(found) - seen)
+            seen.update(out)
+            return out
+
         for pdf in batches:
             pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
             change = np.flatnonzero((pdf[by].to_numpy()[1:] != pdf[by].to_numpy()[:-1]).any(axis=1)) + 1
             cut = np.concatenate(([0], change))
             rest = pdf.iloc[cut[-1]:]
-            found = [p for x, y in zip(cut[:-1], cut[1:]) for p in pairs(pdf.iloc[x:y])]
+            found = fresh(p for x, y in zip(cut[:-1], cut[1:]) for p in pairs(pdf.iloc[x:y]))
             if found:
                 yield pd.DataFrame(found, columns=["a", "b"])
-        if rest is not None and (found := list(pairs(rest))):
+        if rest is not None and (found := fresh(pairs(rest))):
             yield pd.DataFrame(found, columns=["a", "b"])
     return run
 
@@ -242,16 +251,17 @@ def _undecided(similarity: int):
 def _open_pairs(every: DataFrame, label: DataFrame, sets: DataFrame, tested: DataFrame, similarity: int) -> DataFrame:
     """Untested pairs that share a signature, lie in different groups and may link."""
     held = (every.join(label, F.col("set_key") == F.col("node"), "left")
-            .select("sig", "set_key", F.coalesce("component", "set_key").alias("label")))
+            .select("sig", "low", "set_key", F.coalesce("component", "set_key").alias("label")))
     mixed = (held.groupBy("sig").agg(F.min("label").alias("l"), F.max("label").alias("h"), F.count("*").alias("c"))
              .where("l <> h and c > 2").select("sig", F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks")))
     facts = sets.select("set_key", F.size("shingles").cast("long").alias("size"), "sketch")
     held = (held.join(mixed, "sig").join(facts, "set_key")
             .withColumn("side", F.pmod(F.xxhash64("set_key"), F.col("blocks")).cast("int"))
             .withColumn("t", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("sig", F.least("side", "t").alias("bi"), F.greatest("side", "t").alias("bj"),
+            .select("sig", "low", F.least("side", "t").alias("bi"), F.greatest("side", "t").alias("bj"),
                     "side", "set_key", "label", "size", "sketch"))
-    found = (held.repartition("sig", "bi", "bj").sortWithinPartitions("sig", "bi", "bj")
+    # signatures with the same smallest node mostly have the same nodes: side by side, a pair is given out once
+    found = (held.repartition("low", "bi", "bj").sortWithinPartitions("sig", "bi", "bj")
              .mapInPandas(_undecided(similarity), "a long, b long").distinct())
     return saved(found.join(tested, ["a", "b"], "left_anti"), "open")
 
@@ -277,7 +287,8 @@ def near_duplicates(df: DataFrame, n: int = 5, similarity: int = 80, n2: int = 3
                    .where("low <> high").select("sig", "low"), "shared")
     bitmap = spark.sparkContext.broadcast(_bitmap(shared))
     again = with_id.mapInPandas(_signature_rows(n, similarity, n2, k2, bitmap), row)
-    members = saved(again.join(shared, "sig").select("sig", "low", "set_key").distinct(), "members")
+    members = saved(again.join(shared, "sig").select("sig", "low", "set_key"), "members")     # copies met by two tasks stay
+    drop_saved(spark, shared)
     keys = members.select("set_key").distinct()
     wanted = saved(nodes.join(keys, "set_key").select("set_key", F.col("rep").alias("doc_id")), "wanted")
     few = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
@@ -288,11 +299,11 @@ def near_duplicates(df: DataFrame, n: int = 5, similarity: int = 80, n2: int = 3
                    .distinct(), "pairs")
     links = _verified(tested, sets, similarity)
     label = connected_components(links, "a", "b")
-    rest = _open_pairs(members.select("sig", "set_key"), label, sets, tested, similarity)
+    rest = _open_pairs(members, label, sets, tested, similarity)
     if not rest.isEmpty():
         links = links.union(_verified(rest, sets, similarity))
         label = connected_components(links, "a", "b")
-    drop_saved(spark, shared, members, wanted, sets, tested, rest)
+    drop_saved(spark, members, wanted, sets, tested, rest)
 
     grouped = (nodes.join(label, F.col("set_key") == F.col("node"), "left")
                .select("set_key", "rep", F.coalesce("component", "set_key").alias("component")))
