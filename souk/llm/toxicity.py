@@ -1,8 +1,9 @@
 """Toxicity by compression distance with zstandard dictionaries.
 
 Two dictionaries are trained on a bounded sample of labelled texts: one on
-windows of ordinary text, one on what is characteristic of toxic text (its
-words that recur in toxic training texts and never occur in ordinary ones).
+windows of ordinary text, one on windows of toxic text, weighted by how surely
+their words are in more toxic than ordinary texts (log-likelihood ratio of the
+document frequencies, so a few mislabelled rows or rare vocabulary do not matter).
 Every text is cut into windows of about 40 bytes at spaces; a window is
 compressed once against the ordinary dictionary alone and once with the toxic
 one before it.  What the toxic dictionary saves is the window's evidence.
@@ -15,13 +16,15 @@ uses at most ``DICT_TOXIC + DICT_ORDINARY + 2 * CALIBRATION`` texts.
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections import Counter
+from math import log
 
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WINDOW = 40                 # bytes, extended to the next space
@@ -29,9 +32,11 @@ LEVEL = 4                   # zstandard level
 TOXIC_BYTES, ORDINARY_BYTES = 2048, 65536     # dictionary sizes
 DICT_TOXIC, DICT_ORDINARY = 1_500, 9_000      # most training texts of each dictionary
 CALIBRATION = 2_500         # most calibration texts of each label
-RECURS = 0.015              # share of toxic training texts a characteristic word is in, at least
+ORDINARY_WINDOWS = 30_000   # windows for the ordinary dictionary, spread over all its training texts
+SURE = 20                   # least log-likelihood ratio of a word that gives a window weight
 THRESHOLD = 0.7
-SAMPLE_CHARS = 20_000       # training texts are used up to this length; scoring has no limit
+SAMPLE_CHARS = 20_000       # of a longer training text, so many characters are used; scoring has no limit
+SAMPLE_PIECES = 10          # pieces, spread over the whole text, that they are taken in
 STEPS = range(1, 11)
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -113,6 +118,62 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(x @ self.coef[:-1] + self.coef[-1], -30, 30)))
 
 
+def _spread(items: list, most: int) -> list:
+    """At most ``most`` of the items, evenly spread."""
+    return items if len(items) <= most else [items[i * len(items) // most] for i in range(most)]
+
+
+def _frequencies(texts: set[str]) -> Counter:
+    """Number of texts that hold a word."""
+    return Counter(w for t in texts for w in set(_WORD.findall(_fold(t))))
+
+
+def _weights(toxic: list[str], ordinary: list[str]) -> dict[bytes, float]:
+    """Log-likelihood ratio of the words that are in surely (``SURE``) more
+    toxic than ordinary texts; equal texts count once."""
+    toxic, ordinary = set(toxic), set(ordinary)
+    here, there = _frequencies(toxic), _frequencies(ordinary)
+    n, m = len(toxic), len(ordinary)
+    out = {}
+    for w, k in here.items():
+        j = there[w]
+        g = 2 * (k * log(k * (n + m) / ((k + j) * n)) + (j * log(j * (n + m) / ((k + j) * m)) if j else 0))
+        if k * m > j * n and g >= SURE:
+            out[w] = g
+    return out
+
+
+def _toxic_content(texts: list[str], weights: dict[bytes, float], size: int) -> bytes:
+    """Windows of toxic texts, each from its first to its last weighted word,
+    that hold the most weight not yet covered a byte; the best stand last."""
+    runs = set()
+    for t in texts:
+        for w in windows(_fold(t)):
+            words = _WORD.findall(w)
+            at = [i for i, word in enumerate(words) if word in weights]
+            if at:
+                runs.add(b" " + b" ".join(words[at[0]:at[-1] + 1]) + b" ")
+    covered: set[bytes] = set()
+
+    def gain(run: bytes) -> float:
+        return sum(weights.get(w, 0.0) for w in set(_WORD.findall(run)) - covered) / len(run)
+
+    heap = [(-gain(r), r) for r in runs]
+    heapq.heapify(heap)
+    out, used = [], 0
+    while heap and used < size:
+        run = heapq.heappop(heap)[1]
+        now = gain(run)
+        if heap and now < -heap[0][0] - 1e-9:
+            if now > 0:
+                heapq.heappush(heap, (-now, run))
+        elif now > 0:
+            out.append(run)
+            used += len(run)
+            covered.update(_WORD.findall(run))
+    return b"".join(reversed(out))[-size:]
+
+
 def train(labelled: list[tuple[str, int]]) -> Scorer:
     """Fit on (text, label) pairs.  Without texts of both labels the scorer
     gives every text 0."""
@@ -120,20 +181,23 @@ def train(labelled: list[tuple[str, int]]) -> Scorer:
     cut = {1: min(DICT_TOXIC, -(-len(texts[1]) * 2 // 3)), 0: min(DICT_ORDINARY, -(-len(texts[0]) * 2 // 3))}
     if not texts[0] or not texts[1]:
         return Scorer(b"", b"")
-    common: set[bytes] = set()
-    for t in texts[0][:cut[0]]:
-        common.update(_WORD.findall(_fold(t)))
-    words = [[w for w in _WORD.findall(_fold(t)) if w not in common] for t in texts[1][:cut[1]]]
-    seen = Counter(w for ws in words for w in set(ws))
-    least = max(2, RECURS * len(words))
-    own = [b" " + b" ".join(keep) + b" " for ws in words if (keep := [w for w in ws if seen[w] >= least])]
-    plain = [w for t in texts[0][:min(cut[0], 1_500)] for w in windows(_fold(t))][:30_000]
-    scorer = Scorer(_train(plain, ORDINARY_BYTES), _train([o for o in own if len(o) > 8], TOXIC_BYTES, k=16, d=6, steps=1))
+    ordinary, toxic = texts[0][:cut[0]], texts[1][:cut[1]]
+    per_text = max(1, ORDINARY_WINDOWS // len(ordinary))
+    plain = [w for t in ordinary for w in _spread(windows(_fold(t)), per_text)]
+    scorer = Scorer(_train(plain, ORDINARY_BYTES), _toxic_content(toxic, _weights(toxic, ordinary), TOXIC_BYTES))
     held = [(t, y) for y in (0, 1) for t in (texts[y][cut[y]:cut[y] + CALIBRATION] or texts[y][:CALIBRATION])]
     scorer.calibrate([t for t, _ in held], [y for _, y in held])
     return scorer
 
 
+def _sampled(text: Column) -> Column:
+    """A text of up to ``SAMPLE_CHARS`` characters; pieces spread over a longer one."""
+    piece, gaps = SAMPLE_CHARS // SAMPLE_PIECES, SAMPLE_PIECES - 1
+    pieces = F.transform(F.sequence(F.lit(0), F.lit(gaps)), lambda i: F.substring(
+        text, (F.lit(1) + F.floor(i * (F.length(text) - piece) / gaps)).cast("int"), F.lit(piece)))
+    return F.when(F.length(text) <= SAMPLE_CHARS, text).otherwise(F.array_join(pieces, " "))
+
+
 def training_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     label_col: str = "toxic") -> list[tuple[str, int]]:
     """At most ``DICT_* + CALIBRATION`` texts of each label (1, 0) in the order
@@ -144,7 +208,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
         ids = (labels.where(F.col(label_col) == label).select(F.col(id_col).alias("i")).distinct()
                .withColumn("h", F.xxhash64("i")).orderBy("h", "i").limit(most))
         rows = (docs.where(F.col(text_col).isNotNull())
-                .select(F.col(id_col).alias("i"), F.substring(text_col, 1, SAMPLE_CHARS).alias("t"))
+                .select(F.col(id_col).alias("i"), _sampled(F.col(text_col)).alias("t"))
                 .join(F.broadcast(ids), "i").orderBy("h", "i", "t").limit(most).collect())
         out += [(r.t, label) for r in rows]
     return out
