@@ -7,8 +7,10 @@ length, one step per word, and each window gets a 64-bit SimHash of its
 fingerprints differ in at most ``RADIUS`` bits, one block differs in at most
 ``RADIUS // 4``, and the index lists every value that near, so no fingerprint
 within the radius is missed.  Each candidate is then verified by the exact
-weighted similarity of the item and the best aligned window of the item's own
-length: a shingle weighs one over the number of items that hold it.
+similarity of the item and the best aligned window of the item's own length:
+the larger of the plain and the weighted Jaccard.  A shingle of the item weighs
+one over the number of items of its pass that hold it, any other
+shingle as much as the item's shingles on average.
 
 A document is handled whole inside one task and nothing is shuffled.  The
 benchmark goes to the tasks in blocks of at most ``ITEMS_PER_PASS`` items,
@@ -22,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from souk.llm.common import shingle_hashes, word_hashes
+from souk.llm.common import drop_saved, saved, shingle_hashes, word_hashes
 
 N = 5                     # words per shingle
 SIMILARITY = 0.8
@@ -68,6 +70,37 @@ def _near_values(radius: int) -> np.ndarray:
     return v[np.bitwise_count(v) <= radius]
 
 
+def _item_shingles(text: str) -> np.ndarray:
+    """Distinct shingles of a whole item."""
+    return np.unique(shingle_hashes(word_hashes([text])[0], N))
+
+
+class _Part:
+    """An item's part ready for comparing: its distinct shingles, how often it
+    has them, and their weights."""
+
+    def __init__(self, h: np.ndarray, shared: np.ndarray, held: np.ndarray):
+        self.keys, self.counts = np.unique(h, return_counts=True)
+        self.size = len(h)
+        self.weights = np.ones(len(self.keys))
+        if len(shared):
+            i = np.minimum(np.searchsorted(shared, self.keys), len(shared) - 1)
+            self.weights = np.where(shared[i] == self.keys, 1.0 / held[i], 1.0)
+        self.total = float((self.counts * self.weights).sum())
+
+    def similarity(self, window: np.ndarray) -> float:
+        """Larger one of the plain and the weighted Jaccard of the multisets."""
+        keys, counts = np.unique(window, return_counts=True)
+        _, i, j = np.intersect1d(keys, self.keys, assume_unique=True, return_indices=True)
+        least = np.minimum(counts[i], self.counts[j])
+        same = int(least.sum())
+        if not same:
+            return 0.0
+        both = float((least * self.weights[j]).sum())
+        more = float(((counts[i] - least) * self.weights[j]).sum()) + (len(window) - int(counts[i].sum())) * self.total / self.size
+        return max(same / (len(window) + self.size - same), both / (self.total + more))
+
+
 class _Class:
     """Item parts of similar length and the multi-index over their fingerprints."""
 
@@ -102,9 +135,11 @@ class _Class:
 
 
 class Benchmark:
-    """The items of one pass, ready for searching."""
+    """The items of one pass, ready for searching.  ``shared`` has the shingles
+    (sorted) that more than one item of the pass holds, ``held`` the
+    number of those items."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], shared: np.ndarray = np.empty(0, _U), held: np.ndarray = np.empty(0)):
         words, at = word_hashes([t for _, t in items])
         whole: list[tuple[int, np.ndarray]] = []
         self.short: dict[int, list[int]] = {}
@@ -114,8 +149,7 @@ class Benchmark:
                 self.short.setdefault(int(shingle_hashes(w, N)[0]), []).append(item)
             cuts = np.array_split(w, -(-len(w) // PART_WORDS)) if len(w) >= N else []
             whole += [(item, shingle_hashes(c, N)) for c in cuts]
-        seen = [np.unique(h) for _, h in whole]
-        self.known, self.df = np.unique(np.concatenate(seen), return_counts=True) if seen else (np.empty(0, _U), np.empty(0))
+        self.facts = {id(h): _Part(h, shared, held) for _, h in whole}
         whole.sort(key=lambda x: len(x[1]))
         self.classes: list[_Class] = []
         group: list[tuple[int, np.ndarray]] = []
@@ -127,25 +161,9 @@ class Benchmark:
         if group:
             self.classes.append(_Class(group))
 
-    def weights(self, h: np.ndarray) -> np.ndarray:
-        """One over the number of items holding the shingle; 1 for an unknown one."""
-        if not len(self.known):
-            return np.ones(len(h))
-        i = np.minimum(np.searchsorted(self.known, h), len(self.known) - 1)
-        return np.where(self.known[i] == h, 1.0 / self.df[i], 1.0)
-
-    def similarity(self, a: np.ndarray, b: np.ndarray) -> float:
-        """Weighted Jaccard of two multisets of shingles."""
-        u, ca = np.unique(a, return_counts=True)
-        v, cb = np.unique(b, return_counts=True)
-        _, i, j = np.intersect1d(u, v, assume_unique=True, return_indices=True)
-        both = float((np.minimum(ca[i], cb[j]) * self.weights(u[i])).sum())
-        every = float((ca * self.weights(u)).sum() + (cb * self.weights(v)).sum()) - both
-        return both / every if every else 0.0
-
     def _verify(self, doc: np.ndarray, at: int, part: np.ndarray, slack: int) -> tuple[float, int]:
         """Best similarity of ``part`` with a window of its length near ``at``."""
-        m = len(part)
+        m, facts = len(part), self.facts[id(part)]
         lo, hi = max(0, at - slack), min(len(doc), at + slack + m)
         ranked = np.sort(part)
         known = ranked[np.minimum(np.searchsorted(ranked, doc[lo:hi]), m - 1)] == doc[lo:hi]
@@ -157,7 +175,7 @@ class Benchmark:
         for s in range(lo, last + 1):
             e = min(len(doc), s + m)
             if run[e - lo] - run[s - lo] >= SIMILARITY / 2 * m:
-                x = self.similarity(doc[s:e], part)
+                x = facts.similarity(doc[s:e])
                 if x > best:
                     best, where = x, s
                 if best == 1.0:
@@ -209,9 +227,9 @@ class Benchmark:
         return found
 
 
-def _search(items: list[tuple[int, str]]):
+def _search(items: list[tuple[int, str]], shared: np.ndarray, held: np.ndarray):
     def run(batches):
-        bench = Benchmark(items)
+        bench = Benchmark(items, shared, held)
         for pdf in batches:
             size = pdf["text"].str.len().fillna(0).cumsum().to_numpy() // _PIECE_BYTES
             for _, part in pdf.groupby(size, sort=True):
@@ -223,6 +241,20 @@ def _search(items: list[tuple[int, str]]):
     return run
 
 
+def _shared_shingles(items: DataFrame) -> DataFrame:
+    """Shingles that several items hold: their number ``n`` over the
+    items, and the passes in which they are needed."""
+    def run(batches):
+        for pdf in batches:
+            for item, p, text in zip(pdf["item"], pdf["pass"], pdf["text"]):
+                yield pd.DataFrame({"shingle": _item_shingles(text).view(np.int64)}).assign(item=item, **{"pass": p})
+
+    rows = (items.select(F.xxhash64("item_id").alias("item"), "pass", "text")        # an item without an id counts too
+            .mapInPandas(run, "shingle long, item long, pass long"))
+    return (rows.groupBy("shingle").agg(F.countDistinct("item").alias("n"), F.collect_set("pass").alias("passes"))
+            .where("n > 1"))
+
+
 def contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document row and benchmark item found in it: ``doc_id,
     item_id, similarity, first_word`` (place of the best window, in words).
@@ -235,9 +267,16 @@ def contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null")
     passes = max(1, -(-items.count() // ITEMS_PER_PASS))
+    items = items.withColumn("pass", F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)))
     out = None
     for p in range(passes):
-        block = [(r.item_id, r.text) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == p).collect()]
-        found = docs.mapInPandas(_search(block), "doc_id long, item_id long, similarity double, first_word long")
+        shared = saved(_shared_shingles(items.where(F.col("pass") == p)), "shingles")
+        block = [(r.item_id, r.text) for r in items.where(F.col("pass") == p).collect()]
+        rows = shared.where(F.array_contains("passes", F.lit(p).cast("long"))).select("shingle", "n").collect()
+        keys = np.array([r.shingle for r in rows], dtype=np.int64).view(_U)
+        order = np.argsort(keys)
+        search = _search(block, keys[order], np.array([r.n for r in rows], dtype=float)[order])
+        found = docs.mapInPandas(search, "doc_id long, item_id long, similarity double, first_word long")
         out = found if out is None else out.union(found)
+        drop_saved(df.sparkSession, shared)
     return out

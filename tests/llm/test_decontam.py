@@ -51,3 +51,20 @@ def test_many_items_take_several_passes(spark, monkeypatch):
     monkeypatch.setattr(decontam, "ITEMS_PER_PASS", 2)
     items = [(i, " ".join(f"p{i}x{j}" for j in range(10 + i))) for i in range(7)]
     assert [(d, i) for d, i, _ in search(spark, items, items)] == [(i, i) for i in range(7)]
+
+
+def edited(text, at):
+    words = text.split()
+    return " ".join(words[:at] + ["other"] + words[at + 1:])
+
+
+def test_edited_copies_of_repeated_and_templated_items(spark):
+    filler = " ".join(f"f{i}" for i in range(300))
+    twice = " ".join(f"t{i}" for i in range(50))
+    template = [" ".join([f"q{j}" for j in range(40)] + [f"own{k}x{j}" for j in range(10)]) for k in range(10)]
+    items = [(1, twice), (2, twice)] + [(10 + k, t) for k, t in enumerate(template)]
+    docs = [(1, f"{filler} {edited(twice, 25)} {filler}"), (2, f"{filler} {edited(template[3], 20)} {filler}"), (3, f"{filler} {edited(template[4], 45)} {filler}"), (4, filler)]
+    found = {(d, i): s for d, i, s in search(spark, docs, items)}
+    assert found[1, 1] == found[1, 2] == 0.804                # 41 of 51 shingles
+    assert found[2, 13] >= 0.8 and found[3, 14] == 0.804
+    assert not any(d == 4 for d, _ in found)
