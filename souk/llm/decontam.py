@@ -9,7 +9,7 @@ fingerprints differ in at most ``RADIUS`` bits, one block differs in at most
 within the radius is missed.  Each candidate is then verified by the exact
 similarity of the item and the best aligned window of the item's own length:
 the larger of the plain and the weighted Jaccard.  A shingle of the item weighs
-one over the number of items of its pass that hold it, any other
+one over the number of items of the whole benchmark that hold it, any other
 shingle as much as the item's shingles on average.
 
 A document is handled whole inside one task and nothing is shuffled.  The
@@ -136,7 +136,7 @@ class _Class:
 
 class Benchmark:
     """The items of one pass, ready for searching.  ``shared`` has the shingles
-    (sorted) that more than one item of the pass holds, ``held`` the
+    (sorted) that more than one item of the whole benchmark holds, ``held`` the
     number of those items."""
 
     def __init__(self, items: list[tuple[int, str]], shared: np.ndarray = np.empty(0, _U), held: np.ndarray = np.empty(0)):
@@ -242,8 +242,8 @@ def _search(items: list[tuple[int, str]], shared: np.ndarray, held: np.ndarray):
 
 
 def _shared_shingles(items: DataFrame) -> DataFrame:
-    """Shingles that several items hold: their number ``n`` over the
-    items, and the passes in which they are needed."""
+    """Shingles that several items hold: their number ``n`` over the whole
+    benchmark, and the passes in which they are needed."""
     def run(batches):
         for pdf in batches:
             for item, p, text in zip(pdf["item"], pdf["pass"], pdf["text"]):
@@ -268,9 +268,9 @@ def contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null")
     passes = max(1, -(-items.count() // ITEMS_PER_PASS))
     items = items.withColumn("pass", F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)))
+    shared = saved(_shared_shingles(items), "shingles")
     out = None
     for p in range(passes):
-        shared = saved(_shared_shingles(items.where(F.col("pass") == p)), "shingles")
         block = [(r.item_id, r.text) for r in items.where(F.col("pass") == p).collect()]
         rows = shared.where(F.array_contains("passes", F.lit(p).cast("long"))).select("shingle", "n").collect()
         keys = np.array([r.shingle for r in rows], dtype=np.int64).view(_U)
@@ -278,5 +278,5 @@ def contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
         search = _search(block, keys[order], np.array([r.n for r in rows], dtype=float)[order])
         found = docs.mapInPandas(search, "doc_id long, item_id long, similarity double, first_word long")
         out = found if out is None else out.union(found)
-        drop_saved(df.sparkSession, shared)
+    drop_saved(df.sparkSession, shared)
     return out

@@ -68,3 +68,14 @@ def test_edited_copies_of_repeated_and_templated_items(spark):
     assert found[1, 1] == found[1, 2] == 0.804                # 41 of 51 shingles
     assert found[2, 13] >= 0.8 and found[3, 14] == 0.804
     assert not any(d == 4 for d, _ in found)
+
+
+def test_size_of_a_pass_changes_no_similarity(spark, monkeypatch):
+    template = [" ".join([f"q{j}" for j in range(30)] + [f"own{k}x{j}" for j in range(20)]) for k in range(6)]
+    items = [(k, t) for k, t in enumerate(template)] + [(9, template[0])]
+    docs = [(k, "start " + " ".join("new" if j in (3, 4, 5, 6) else w for j, w in enumerate(t.split())) + " end") for k, t in enumerate(template)]
+    docs += [(10 + k, edited(t, at)) for k, t in enumerate(template) for at in (10, 40)]
+    whole = search(spark, docs, items)
+    monkeypatch.setattr(decontam, "ITEMS_PER_PASS", 1)
+    assert whole and search(spark, docs, items) == whole
+    assert any(d == i for d, i, _ in whole)                  # 8 of 46 shingles are lost, all of them shared: plain 0.70
