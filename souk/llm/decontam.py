@@ -142,11 +142,11 @@ class Benchmark:
     def __init__(self, items: list[tuple[int, str]], shared: np.ndarray = np.empty(0, _U), held: np.ndarray = np.empty(0)):
         words, at = word_hashes([t for _, t in items])
         whole: list[tuple[int, np.ndarray]] = []
-        self.short: dict[int, list[int]] = {}
+        self.short: dict[int, dict[int, list[int]]] = {}      # words -> hash -> items
         for k, (item, _) in enumerate(items):
             w = words[at[k]:at[k + 1]]
             if 0 < len(w) < N:
-                self.short.setdefault(int(shingle_hashes(w, N)[0]), []).append(item)
+                self.short.setdefault(len(w), {}).setdefault(int(shingle_hashes(w, len(w))[0]), []).append(item)
             cuts = np.array_split(w, -(-len(w) // PART_WORDS)) if len(w) >= N else []
             whole += [(item, shingle_hashes(c, N)) for c in cuts]
         self.facts = {id(h): _Part(h, shared, held) for _, h in whole}
@@ -186,9 +186,15 @@ class Benchmark:
         """(text, item) -> (similarity, first word), over concatenated word hashes."""
         found: dict[tuple[int, int], tuple[float, int]] = {}
         doc_of = np.repeat(np.arange(len(at) - 1), np.diff(at))
-        for d in np.flatnonzero((np.diff(at) > 0) & (np.diff(at) < N)):
-            for item in self.short.get(int(shingle_hashes(words[at[d]:at[d + 1]], N)[0]), ()):
-                found[(int(d), item)] = (1.0, 0)
+        for n, items in self.short.items():   # runs of the item's own length, verbatim
+            if len(words) < n:
+                continue
+            h = shingle_hashes(words, n)
+            for i in np.flatnonzero(np.isin(h, np.array(list(items), dtype=_U))):
+                d = int(doc_of[i])
+                if i + n <= at[d + 1]:
+                    for item in items[int(h[i])]:
+                        found.setdefault((d, item), (1.0, int(i - at[d])))
         if len(words) < N or not self.classes:
             return found
         h = shingle_hashes(words, N)          # those across two texts are in no window
@@ -259,8 +265,8 @@ def contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     """One row per document row and benchmark item found in it: ``doc_id,
     item_id, similarity, first_word`` (place of the best window, in words).
 
-    Null and wordless texts or items match nothing.  An item or text of fewer
-    than 5 words is one shingle, its whole sequence.  Of an item of over 200
+    Null and wordless texts or items match nothing.  An item of fewer than
+    5 words is found wherever a document has its words in sequence.  Of an item of over 200
     words each part is looked for.  A null id is kept; repeated rows give
     repeated results; other columns are ignored.
     """

@@ -79,3 +79,11 @@ def test_size_of_a_pass_changes_no_similarity(spark, monkeypatch):
     monkeypatch.setattr(decontam, "ITEMS_PER_PASS", 1)
     assert whole and search(spark, docs, items) == whole
     assert any(d == i for d, i, _ in whole)                  # 8 of 46 shingles are lost, all of them shared: plain 0.70
+
+
+def test_short_items_are_found_inside_documents(spark):
+    filler = " ".join(f"f{i}" for i in range(50))
+    items = [(1, "alone"), (2, "Two words"), (3, "three words here"), (4, "exactly four words long")]
+    docs = [(10 + i, f"{filler} {t} {filler}") for i, t in items] + [(20, "two"), (21, "words two"), (22, "say two words"), (23, filler)]
+    found = search(spark, docs, items)
+    assert [(d, i) for d, i, _ in found] == [(11, 1), (12, 2), (13, 3), (14, 4), (22, 2)] and all(s == 1.0 for *_, s in found)
