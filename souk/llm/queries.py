@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from souk.llm import decontam, fingerprint, langid, lines, mixing, ngram_join, sharding, token_counts, token_files, toxicity
+from souk.llm import (decontam, fingerprint, langid, licenses, lines, mixing, ngram_join, oracle, ranked_search, sharding, spelling,
+                      token_counts, token_files, toxicity)
 from souk.llm.common import held_out
 
 
@@ -87,6 +88,21 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op11_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and statements in every document."""
+    return licenses.scan(_docs(spark, sf_dir))[0]
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with the frequent word that they are one edit from."""
+    return spelling.variant_forms(spelling.run_counts(_docs(spark, sf_dir)))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best documents for every benchmark item."""
+    return ranked_search.top_documents(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_sharding": op2_sharding,
@@ -98,5 +114,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_join": op8_ngram_join,
     "op9_token_counts": op9_token_counts,
     "op10_decontamination": op10_decontamination,
+    "op11_licenses": op11_licenses,
+    "op12_spelling": op12_spelling,
+    "op13_ranked_search": op13_ranked_search,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = oracle.ORACLE
