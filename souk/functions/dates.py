@@ -20,3 +20,9 @@ def date_parts(dt: Column) -> list[Column]:
 def days_before(dt, days: int) -> Column:
     """``dt - INTERVAL 'days days'``; stays a DATE."""
     return F.date_sub(dt if isinstance(dt, Column) else F.lit(dt).cast("date"), days)
+
+
+def in_dates(col: str, dates) -> Column:
+    """``col`` is one of ``dates`` (any number of them: one expression, not a literal each)."""
+    days = sorted({str(d) for d in dates})
+    return F.expr(f"{col} IN ({', '.join(f"DATE'{d}'" for d in days)})") if days else F.lit(False)

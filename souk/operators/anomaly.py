@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from souk import schemas as S
+from souk.functions.dates import in_dates
 from souk.functions import drop_pct, is_drop_anomaly, moving_average
 from souk.operators.joins import join_dim
 from souk.operators.metrics import as_date, seller_daily_revenue
@@ -59,10 +60,10 @@ def detect_anomalies_all(fact: DataFrame, dim_seller: DataFrame,
     if dates is not None:
         wanted = {_dt.date.fromisoformat(str(d)) for d in dates}
         read = {d - _dt.timedelta(days=k) for d in wanted for k in range(days + 1)}
-        fact = fact.where(F.col("dt").isin(sorted(read)))
+        fact = fact.where(in_dates("dt", read))
     win = with_moving_window(seller_daily_revenue(fact), days)
     if dates is not None:
-        win = win.where(F.col("dt").isin(sorted(wanted)))
+        win = win.where(in_dates("dt", wanted))
     return _flag_and_name(win, dim_seller, threshold)
 
 

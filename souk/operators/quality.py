@@ -191,3 +191,32 @@ def check_domains(df: DataFrame, varchar: Mapping[str, int] | None = None,
     aggs = [col.alias(f"c{i}") for i, (_, col) in enumerate(pairs)]
     rows = F.array(*[F.struct(F.lit(n).alias("rule"), F.col(f"c{i}").cast("bigint").alias("n")) for i, (n, _) in enumerate(pairs)])
     return df.agg(*aggs).select(F.inline(rows))
+
+
+def domain_report_by_date(df: DataFrame, varchar: Mapping[str, int], numeric: Mapping[str, tuple[int, int]] | None = None) -> DataFrame:
+    """J9 per ``dt``: ``dt, name, actual`` for every limit that a date breaks; one aggregate."""
+    rules = [(f"{c}:varchar({n})", F.length(c) > n) for c, n in varchar.items()]
+    rules += [(f"{c}:numeric({p},{s})", F.col(c).isNotNull() & F.col(c).try_cast(T.DecimalType(p, s)).isNull())
+              for c, (p, s) in (numeric or {}).items()]
+    counts = df.groupBy("dt").agg(*[F.count_if(bad).alias(f"c{i}") for i, (_, bad) in enumerate(rules)])
+    rows = F.array(*[F.struct(F.lit(n).alias("name"), F.col(f"c{i}").cast("bigint").alias("actual")) for i, (n, _) in enumerate(rules)])
+    return counts.select("dt", F.inline(rows)).where(F.col("actual") > 0)
+
+
+def foreign_key_report_by_date(fact: DataFrame, dims: Mapping[str, DataFrame],
+                               fks: Mapping[str, tuple[str, str]] = S.FACT_FOREIGN_KEYS) -> DataFrame:
+    """J8 per ``dt``: ``dt, name, actual`` with the key values (NULL aside) that a
+    date has and the dimension has not.
+
+    All foreign keys go through one shuffle: fact and dimension keys as tagged
+    rows, grouped by (tag, value).  A value that very many orders have is one row
+    per task and date before the shuffle; a group holds at most the calendar.
+    """
+    name = {c: f"{c}:{dim}" for c, (dim, _) in fks.items()}
+    tagged = F.inline(F.array(*[F.struct(F.lit(name[c]).alias("name"), F.col(c).cast("string").alias("value")) for c in fks]))
+    rows = fact.select("dt", tagged).where(F.col("value").isNotNull()).select("name", "value", "dt", F.lit(False).alias("known"))
+    for c, (dim, key) in fks.items():
+        rows = rows.unionByName(dims[dim].where(F.col(key).isNotNull()).select(
+            F.lit(name[c]).alias("name"), F.col(key).cast("string").alias("value"), F.lit(None).cast("date").alias("dt"), F.lit(True).alias("known")))
+    missing = rows.groupBy("name", "value").agg(F.max("known").alias("known"), F.collect_set("dt").alias("days")).where(~F.col("known"))
+    return missing.select(F.explode("days").alias("dt"), "name").groupBy("dt", "name").agg(F.count(F.lit(1)).alias("actual"))

@@ -1,25 +1,22 @@
 """Writes: partition replace, upsert, insert-if-absent, generated ids.
 
-Stored tables are never overwritten in place.  A write puts its rows into a
-new folder and publishes it last, by one row group appended to the table's
-``_manifest``; readers follow the manifest.  A job that fails, at whatever
-point, leaves the table as it was, and running a job again for the same dates
-gives the same table.  ``vacuum`` deletes folders that nothing refers to.
-
-Two layouts: tables of dates (``v=<run>/dt=<date>``; the manifest says which
-run holds a date, or that the date is empty) and snapshots (``v=<number>``).
+Stored tables are those of ``souk.operators.store``: runs of Parquet files and a
+commit log; a job that fails leaves a table as it was, and running it again
+gives the same table.  The functions here work on one table at a path of its
+own; the jobs of ``souk.plans.pipeline`` change several tables in one commit.
 The landing zone is plain: one folder per date, written by dynamic overwrite.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from souk.operators.store import Store
+
 
 # --- frame-level operators -------------------------------------------------
 
@@ -48,11 +45,11 @@ def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
 def insert_absent(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """B4 on frames: add source rows whose key is not in the target (DO NOTHING)."""
     cols = target.columns
-    fresh = source.dropDuplicates([key]).join(target.select(key), key, "left_anti")
+    fresh = one_per_key(source.select(*cols), [key]).join(target.select(key), key, "left_anti")
     return target.unionByName(fresh.select(*cols))
 
 
-# --- partitioned tables ----------------------------------------------------
+# --- the landing zone ----------------------------------------------------
 
 # Folders one write task targets at most when the number of dates is known.
 FOLDERS_PER_TASK = 64
@@ -103,25 +100,6 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(jp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jp))
 
 
-_DATES = T.StructType([T.StructField("seq", T.LongType()), T.StructField("dt", T.StringType()),
-                       T.StructField("run", T.StringType())])
-
-
-def _published(spark: SparkSession, path: str) -> list:
-    """The manifest's rows: (seq, date, run or None); one per date and publication."""
-    if not path_exists(spark, f"{path}/_manifest"):
-        return []
-    return spark.read.schema(_DATES).parquet(f"{path}/_manifest").collect()
-
-
-def current_dates(spark: SparkSession, path: str) -> dict[str, str]:
-    """Date -> run that holds it, for the dates that have rows."""
-    last: dict[str, tuple] = {}
-    for r in _published(spark, path):
-        last[r.dt] = max(last.get(r.dt, (-1, None)), (r.seq, r.run or ""))
-    return {d: run for d, (_, run) in sorted(last.items()) if run}
-
-
 def list_partitions(spark: SparkSession, path: str, part: str) -> list[str]:
     """Values of the partition folders below ``path`` (folder names only)."""
     jp = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -130,23 +108,23 @@ def list_partitions(spark: SparkSession, path: str, part: str) -> list[str]:
     return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{part}="))
 
 
+# --- tables of dates ---------------------------------------------------------
+
+TABLE = ""       # the one table of a store of its own
+
+
+def current_dates(spark: SparkSession, path: str) -> dict[str, int]:
+    """Date -> rows, for the dates that have rows (no file is opened)."""
+    return Store(spark, path).begin().parts(TABLE)
+
+
 def replace_partitions(df: DataFrame, path: str, dates: Iterable, part: str = "dt",
                        spread: list[str] | None = None) -> None:
-    """B2 for a set of dates in one job: afterwards each holds exactly ``df``'s rows.
-
-    The rows go to a new run folder; which dates came out is read from the
-    committed folders, and the manifest then points all requested dates to
-    the run or to nothing.
-    """
-    spark, wanted = df.sparkSession, sorted({str(d) for d in dates})
-    if not wanted:
-        return
-    run = uuid.uuid4().hex
-    write_partitions(df.where(F.col(part).isin(wanted)), f"{path}/v={run}", part, spread, n_values=len(wanted))
-    present = set(list_partitions(spark, f"{path}/v={run}", part))
-    seq = max([r.seq for r in _published(spark, path)], default=0) + 1
-    rows = [(seq, d, run if d in present else None) for d in wanted]
-    spark.createDataFrame(rows, _DATES).coalesce(1).write.mode("append").parquet(f"{path}/_manifest")
+    """B2 for a set of dates in one job: afterwards each holds exactly ``df``'s
+    rows (none: it is empty).  Writers of other dates do not meet."""
+    tx = Store(df.sparkSession, path).begin()
+    tx.replace(TABLE, df, part, dates, df.schema, spread)
+    tx.commit(blind=True)
 
 
 def replace_partition(df: DataFrame, path: str, ds, part: str = "dt") -> None:
@@ -156,28 +134,15 @@ def replace_partition(df: DataFrame, path: str, ds, part: str = "dt") -> None:
 
 def read_partitioned(spark: SparkSession, path: str, schema: T.StructType, ds=None,
                      part: str = "dt", dates: Iterable | None = None) -> DataFrame:
-    """A4/A5: scan a table of dates; ``ds`` or ``dates`` open only their folders.
+    """A4/A5: scan a table of dates; with ``ds`` or ``dates`` only files that hold
+    them are opened.  A table that was never written is empty."""
+    return Store(spark, path).begin().read(TABLE, schema, [ds] if ds is not None and dates is None else dates, part)
 
-    A table that was never written is empty.
-    """
-    wanted = None if ds is None and dates is None else {str(d) for d in ([ds] if dates is None else dates)}
-    held = {d: r for d, r in current_dates(spark, path).items() if wanted is None or d in wanted}
-    if not held:
-        return spark.createDataFrame([], schema)
-    folders = [f"{path}/v={run}/{part}={d}" for d, run in held.items()]
-    return spark.read.schema(schema).option("basePath", path).parquet(*folders).select(*schema.fieldNames())
-
-
-def vacuum(spark: SparkSession, path: str, keep: int = 1) -> int:
-    """Delete run folders that hold no current date and snapshot versions but
-    the ``keep`` newest.  For times when no job reads the table."""
-    runs = set(list_partitions(spark, path, "v"))
-    dated = path_exists(spark, f"{path}/_manifest") and "run" in spark.read.parquet(f"{path}/_manifest").columns
-    if dated:
-        used = set(current_dates(spark, path).values())
-    else:
-        used = {str(v) for v in sorted((int(r) for r in runs if r.isdigit()), reverse=True)[:keep]}
-    return delete_paths(spark, [f"{path}/v={r}" for r in runs - used])
+
+def vacuum(spark: SparkSession, path: str, keep_seconds: float = 0) -> int:
+    """Delete runs that nothing refers to; by default of any age, for times when
+    no job reads the table."""
+    return Store(spark, path).vacuum(keep_seconds)
 
 
 def partition_row_count(spark: SparkSession, path: str, schema: T.StructType, ds) -> DataFrame:
@@ -185,54 +150,60 @@ def partition_row_count(spark: SparkSession, path: str, schema: T.StructType, ds
     return read_partitioned(spark, path, schema, ds).agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"))
 
 
-# --- versioned snapshots (dimensions) ---------------------------------------
+# --- keyed tables (dimensions) -------------------------------------------------
 
-_MANIFEST = T.StructType([T.StructField("version", T.LongType())])
+_WHOLE = "_whole"
 
 
 def current_version(spark: SparkSession, path: str) -> int | None:
-    """Highest committed version of a snapshot table (from its manifest)."""
-    if not path_exists(spark, f"{path}/_manifest"):
-        return None
-    row = spark.read.schema(_MANIFEST).parquet(f"{path}/_manifest").agg(F.max("version")).first()
-    return row[0] if row else None
+    """Number of the newest commit of a keyed table."""
+    return Store(spark, path).state()["seq"] or None
 
 
 def read_snapshot(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
-    v = current_version(spark, path)
-    if v is None:
+    """The rows of a table written by the functions below; None if there is none."""
+    tx = Store(spark, path).begin()
+    if not tx.base:
         return None
-    return spark.read.schema(schema).parquet(f"{path}/v={v}")
+    keys = tx.prop(TABLE, "keys")
+    if keys:
+        return tx.read_keyed(TABLE, schema, keys)
+    return tx.read(TABLE, T.StructType([*schema.fields, T.StructField(_WHOLE, T.IntegerType())]), part=_WHOLE).select(*schema.fieldNames())
 
 
 def write_snapshot(df: DataFrame, path: str) -> int:
-    """Write ``df`` as a new version folder, then publish it in the manifest.
-
-    The new version never overwrites the folder it may be reading from, so
-    an upsert can read the current snapshot and write the next one safely.
-    """
-    spark = df.sparkSession
-    v = (current_version(spark, path) or 0) + 1
-    df.write.mode("overwrite").parquet(f"{path}/v={v}")
-    spark.createDataFrame([(v,)], _MANIFEST).write.mode("append").parquet(f"{path}/_manifest")
-    return v
+    """Replace the whole table by ``df``; returns the version."""
+    tx = Store(df.sparkSession, path).begin()
+    whole = df.withColumn(_WHOLE, F.lit(0))
+    tx.replace(TABLE, whole, _WHOLE, {0, *tx.parts(TABLE)}, whole.schema)
+    tx.set_prop(TABLE, "keys", None)
+    return tx.commit()
+
+
+def _keyed(spark: SparkSession, path: str, source: DataFrame, keys: list[str], schema: T.StructType, update: bool) -> int:
+    tx = Store(spark, path).begin()
+    if tx.prop(TABLE, "keys") != keys:                     # written whole before: bucket it by its key first
+        before = read_snapshot(spark, path, schema)
+        for p in tx.parts(TABLE):
+            tx._change(TABLE, replace={p: []})
+        tx.set_prop(TABLE, "keys", keys)
+        if before is not None:
+            tx.upsert(TABLE, before, keys, schema)
+    tx.upsert(TABLE, source, keys, schema, update)
+    return tx.commit()
 
 
 def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: list[str],
                  schema: T.StructType) -> int:
-    """B3 on storage: next version = current snapshot upserted with ``source``."""
-    cur = read_snapshot(spark, path, schema)
-    rows = source.select(*schema.fieldNames())
-    nxt = one_per_key(rows, keys) if cur is None else upsert_frame(cur, rows, keys)
-    return write_snapshot(nxt, path)
+    """B3 on storage: rows with a new key are added, changed rows replaced; only
+    buckets of these keys are opened and written.  Returns the version."""
+    return _keyed(spark, path, source, keys, schema, True)
 
 
 def insert_absent_table(spark: SparkSession, path: str, source: DataFrame, key: str,
                         schema: T.StructType) -> int:
-    """B4 on storage: next version = current snapshot plus unseen keys."""
-    cur = read_snapshot(spark, path, schema)
-    nxt = source.select(*schema.fieldNames()).dropDuplicates([key]) if cur is None else insert_absent(cur, source, key)
-    return write_snapshot(nxt, path)
+    """B4 on storage: rows with unseen keys are added."""
+    return _keyed(spark, path, source, [key], schema, False)
 
 
 # --- generated columns (B5) ------------------------------------------------
@@ -260,19 +231,3 @@ def sequential_id(df: DataFrame, order: list, id_col: str = "id") -> DataFrame:
     return (stored.withColumn("_ix", F.row_number().over(inside)).join(offsets, "_pid")
                   .withColumn(id_col, (F.col("_off") + F.col("_ix")).cast("bigint"))
                   .drop("_pid", "_ix", "_off"))
-
-
-def replace_dates_snapshot(spark: SparkSession, path: str, df: DataFrame, dates: Iterable,
-                           schema: T.StructType, part: str = "dt") -> int:
-    """B2 for small per-day tables kept as one snapshot (no folder per day).
-
-    Next version = current rows of other dates + ``df``'s rows of ``dates``;
-    a requested date without rows ends up empty.  Used for tables whose size
-    is bounded by the calendar (one or a few rows per day), where one folder
-    per day would only add files.
-    """
-    wanted = sorted({str(d) for d in dates})
-    new = df.where(F.col(part).isin(wanted)).select(*schema.fieldNames())
-    cur = read_snapshot(spark, path, schema)
-    nxt = new if cur is None else cur.where(~F.col(part).isin(wanted)).unionByName(new)
-    return write_snapshot(nxt, path)

@@ -16,9 +16,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from souk import schemas as S
-from souk.functions import active_ratio, days_before, drop_pct, status_not_in
+from souk.functions import days_before, drop_pct, status_not_in
 from souk.operators import anomaly, joins, metrics, quality, sinks, star
-from souk.plans import pipeline
+from souk.plans import dashboard, pipeline
 from souk.session import shared_dir
 from souk.sources import landing
 from souk.sources.fixtures import Fixture
@@ -59,7 +59,7 @@ def _key_num(col: str):
 def _scan_raw_orders(spark, sf):
     base = shared_dir(spark, "landing")
     fx = Fixture(spark, sf)
-    landing.land(fx.raw_orders, base, "orders", spread=["order_id"], n_dates=len(_fact_dates(fx.fact)))
+    landing.land(fx.raw_orders, base, "orders", spread=["order_id"], n_dates=len(_fact_dates(spark, sf)))
     return landing.read_raw(spark, base, "orders").select(*S.ORDER_COLUMNS)
 
 
@@ -94,14 +94,14 @@ def _scan_raw_products(spark, sf):
 def _raw_json_roundtrip(spark, sf):
     base = shared_dir(spark, "landing")
     fact = Fixture(spark, sf).fact
-    landing.land(fact, base, "orders", spread=["order_id"], n_dates=len(_fact_dates(fact)))
+    landing.land(fact, base, "orders", spread=["order_id"], n_dates=len(_fact_dates(spark, sf)))
     return landing.read_raw(spark, base, "orders").select(*S.ORDER_COLUMNS)
 
 
 def _daily_table(spark, sf) -> tuple[str, DataFrame]:
     fact = Fixture(spark, sf).fact
     path = shared_dir(spark, "daily_revenue")
-    sinks.replace_partitions(metrics.daily_revenue_zero_filled(fact), path, _fact_dates(fact))
+    sinks.replace_partitions(metrics.daily_revenue_zero_filled(fact), path, _fact_dates(spark, sf))
     return path, fact
 
 
@@ -124,7 +124,7 @@ def _latest_partition(spark, sf):
 def _replace_partition_idempotent(spark, sf):
     fact = Fixture(spark, sf).fact
     daily = metrics.daily_revenue_zero_filled(fact)
-    dates = _fact_dates(fact)
+    dates = _fact_dates(spark, sf)
     path = shared_dir(spark, "daily_revenue")
     sinks.replace_partitions(daily, path, dates)
     sinks.replace_partitions(daily, path, dates)
@@ -179,7 +179,7 @@ def _anomalies_with_id(spark, sf):
 def _partition_row_count(spark, sf):
     fact = Fixture(spark, sf).fact
     path = shared_dir(spark, "fact_orders")
-    sinks.replace_partitions(fact, path, _fact_dates(fact), spread=["order_id"])
+    sinks.replace_partitions(fact, path, _fact_dates(spark, sf), spread=["order_id"])
     ds = _ds_value(fact)
     return sinks.partition_row_count(spark, path, S.ORDERS, ds).select(F.lit(ds).alias("dt"), "n_rows")
 
@@ -188,7 +188,7 @@ def _partition_row_count(spark, sf):
 
 def _landed_text(spark, sf, entity: str, frame: DataFrame, ds=None, spread=None) -> DataFrame:
     base = shared_dir(spark, "landing")
-    n = len(_fact_dates(Fixture(spark, sf).fact)) + 1 if ds is None else 1
+    n = len(_fact_dates(spark, sf)) + 1 if ds is None else 1
     landing.land(frame, base, entity, ds=ds, spread=spread, n_dates=n)
     return landing.read_raw(spark, base, entity, as_text=True)
 
@@ -400,13 +400,6 @@ def _drop_pct(spark, sf):
         "seller_id", "dt", drop_pct(F.col("win_sum"), F.col("win_n"), F.col("revenue"), 18).alias("drop_pct"))
 
 
-@query("active_ratio")
-def _active_ratio(spark, sf):
-    act = metrics.customer_activity_all(Fixture(spark, sf).fact)
-    return act.select("dt", "active_customers", "dormant_customers",
-                      active_ratio(F.col("active_customers"), F.col("dormant_customers")).alias("active_ratio"))
-
-
 # --- J: data quality -----------------------------------------------------------------
 
 @query("dq_report")
@@ -469,8 +462,9 @@ def _check_domains(spark, sf):
 _WAREHOUSES: dict[tuple[str, str], tuple[pipeline.Warehouse, list]] = {}
 
 
-def _fact_dates(fact: DataFrame) -> list:
-    return [r[0] for r in fact.select("dt").distinct().collect()]  # one row per calendar day
+def _fact_dates(spark, sf) -> list:
+    """The order dates, from the order headers that have a line (no dedup needed); one per calendar day."""
+    return [r[0] for r in Fixture(spark, sf).order_dates.collect()]
 
 
 def _landed_warehouse(spark, sf, shared: bool = True) -> tuple[pipeline.Warehouse, list]:
@@ -484,8 +478,8 @@ def _landed_warehouse(spark, sf, shared: bool = True) -> tuple[pipeline.Warehous
         return _WAREHOUSES[key]
     fx = Fixture(spark, sf)
     fact = fx.fact
-    ds = _ds_value(fact)
-    dates = _fact_dates(fact)
+    dates = _fact_dates(spark, sf)
+    ds = max(dates)
     wh = pipeline.Warehouse(shared_dir(spark, "warehouse"))
     landing.land(fact, wh.raw(), "orders", spread=["order_id"], n_dates=len(dates))
     landing.land(fx.sellers, wh.raw(), "sellers", ds=ds)
@@ -550,9 +544,12 @@ def _alert_events(spark, sf):
 
 @query("rerun_idempotent")
 def _rerun_idempotent(spark, sf):
+    """K6: a second run over all dates; every table, whole, against the first
+    run's.  A table that differs in any row gets a row count of -1."""
     wh, dates = _landed_warehouse(spark, sf, shared=False)      # it rewrites its tables
+    first = pipeline.table_contents(spark, wh)
     pipeline.backfill(spark, wh, dates)          # second run over the same dates
-    return pipeline.table_summary(spark, wh)
+    return pipeline.same_summary(pipeline.table_summary(spark, wh), first, pipeline.table_contents(spark, wh))
 
 
 # Fixed category -> family mapping of the enriched category dimension.
@@ -571,62 +568,24 @@ def _dim_category(spark, sf):
         "product_id", "name", "category", "family")
 
 
-# --- L: dashboard reads -------------------------------------------------------------------
-
-@query("kpi_day")
-def _kpi_day(spark, sf):
-    daily = metrics.daily_revenue_zero_filled(Fixture(spark, sf).fact)
-    return daily.where(F.col("dt") == daily.select(F.max("dt")).scalar())
-
-
-@query("kpi_anomaly_count")
-def _kpi_anomaly_count(spark, sf):
-    fx = Fixture(spark, sf)
-    found = anomaly.detect_anomalies_all(fx.fact, fx.sellers)
-    ds = fx.latest_dt
-    return found.where(F.col("dt") == ds).agg(F.count(F.lit(1)).cast("bigint").alias("n")).select(
-        ds.alias("dt"), "n")
-
-
-@query("revenue_trend_7d")
-def _revenue_trend_7d(spark, sf):
-    daily = metrics.daily_revenue_zero_filled(Fixture(spark, sf).fact)
-    ds = daily.select(F.max("dt")).scalar()
-    week = daily.where(F.col("dt").between(days_before(ds, 6), ds)).select("dt", "revenue")
-    return _rank(week, "dt")
-
+# --- L: dashboard reads, from the published tables ---------------------------------------
 
-@query("top_10_sellers")
-def _top_10_sellers(spark, sf):
-    fx = Fixture(spark, sf)
-    day = metrics.top_sellers(fx.fact, fx.sellers, fx.latest_dt)
-    top = day.orderBy(F.desc_nulls_first("revenue"), "seller_id").limit(S.TOP_N)
-    return _rank(top, F.desc_nulls_first("revenue"), "seller_id").select(
-        "rank_no", "seller_id", "seller_name", "revenue", "nb_orders")
-
-
-@query("category_ranked")
-def _category_ranked(spark, sf):
-    fx = Fixture(spark, sf)
-    day = metrics.category_breakdown(fx.fact, fx.products, fx.latest_dt)
-    return _rank(day.select("category", "revenue"), F.desc_nulls_first("revenue"), "category")
-
-
-@query("category_domain")
-def _category_domain(spark, sf):
-    fx = Fixture(spark, sf)
-    day = metrics.category_breakdown(fx.fact, fx.products, fx.latest_dt)
-    return _rank(day.select("category").distinct(), "category")
+def _published(read) -> Query:
+    def run(spark, sf):
+        return read(spark, _landed_warehouse(spark, sf)[0])
+    return run
 
 
-@query("anomalies_ranked")
-def _anomalies_ranked(spark, sf):
-    fx = Fixture(spark, sf)
-    day = anomaly.detect_anomalies(fx.fact, fx.sellers, fx.latest_dt)
-    # One day's anomalies grow with the number of sellers: rank in parallel, not in one window task.
-    ranked = sinks.sequential_id(day.select("seller_name", "seller_id", "revenue", "moving_avg_7d", "drop_pct"),
-                                 [F.desc_nulls_first("drop_pct"), F.asc("seller_id")], "rank_no")
-    return ranked.withColumn("rank_no", F.col("rank_no").cast("int"))
+QUERIES.update({
+    "kpi_day": _published(dashboard.kpi_day),
+    "kpi_anomaly_count": _published(dashboard.kpi_anomaly_count),
+    "revenue_trend_7d": _published(dashboard.revenue_trend),
+    "top_10_sellers": _published(dashboard.top_sellers),
+    "category_ranked": _published(dashboard.categories_ranked),
+    "category_domain": _published(dashboard.category_domain),
+    "active_ratio": _published(dashboard.active_share),
+    "anomalies_ranked": _published(dashboard.anomalies_ranked),
+})
 
 
 # --- M: streaming -----------------------------------------------------------------------

@@ -56,6 +56,19 @@ CUSTOMER_ACTIVITY = _s(("dt", T.DateType()), ("active_customers", T.IntegerType(
 ANOMALIES = _s(("dt", T.DateType()), ("seller_id", T.StringType()), ("seller_name", T.StringType()),
                ("revenue", REVENUE), ("moving_avg_7d", REVENUE), ("drop_pct", DROP_PCT))
 
+# As stored: a generated id and the time of the first detection.
+STORED_ANOMALIES = T.StructType([T.StructField("id", T.LongType()), *ANOMALIES.fields, T.StructField("detected_at", T.TimestampType())])
+# Rejected records by date of their folder, and what replaces them.
+REJECTS = _s(("dt", T.DateType()), ("entity", T.StringType()), ("raw", T.StringType()),
+             ("reject_reason", T.StringType()), ("source_file", T.StringType()))
+REPAIRS = _s(("dt", T.DateType()), ("entity", T.StringType()), ("raw", T.StringType()), ("record", T.StringType()))
+# Key index of staging.orders: an order id is held by ``dt`` while ``stamp`` is that date's.
+ORDER_KEYS = _s(("order_id", T.StringType()), ("dt", T.DateType()), ("stamp", T.LongType()))
+# State of customer activity.  ``ckey`` is never null (a null customer id has one of its own).
+CUSTOMER_DAYS = _s(("dt", T.DateType()), ("ckey", T.StringType()))
+CUSTOMER_SPAN = _s(("ckey", T.StringType()), ("first_dt", T.DateType()), ("last_dt", T.DateType()))
+ACTIVITY_DELTAS = _s(("at", T.DateType()), ("seen", T.LongType()), ("act", T.LongType()))
+
 ORDER_COLUMNS = [f.name for f in ORDERS.fields]
 
 # Primary keys of every table (checked by operators.quality.check_primary_key).

@@ -171,6 +171,13 @@ class Fixture:
         dates = lines.join(_order_header(self.spark, self.sf_dir), "l_orderkey")
         return dates.select(F.max(F.col("o_orderdate").cast("date"))).scalar()
 
+    @property
+    def order_dates(self) -> DataFrame:
+        """The dates of the fact: those of the order headers that have a line."""
+        lines = read_table(self.spark, self.sf_dir, "lineitem", "l_orderkey")
+        head = _order_header(self.spark, self.sf_dir)
+        return head.join(lines, "l_orderkey", "left_semi").select(F.col("o_orderdate").cast("date").alias("dt")).distinct()
+
     @property
     def orders_faulty(self) -> DataFrame:
         return orders_faulty(self.spark, self.sf_dir)

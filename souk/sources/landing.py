@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from souk import schemas as S
+from souk.functions.dates import in_dates
 from souk.operators.sinks import list_partitions, write_partitions
 
 ENTITY_SCHEMAS = {"orders": S.ORDERS, "sellers": S.SELLERS, "products": S.PRODUCTS}
@@ -54,6 +55,8 @@ class Layout(NamedTuple):
 
 
 CORRUPT = "_corrupt_record"
+SOURCE = "source_file"
+MANY_DAYS = 64                  # from so many folders on, a read of most of them lists the entity's root once
 
 
 def read_raw(spark: SparkSession, base: str, entity: str, ds=None, as_text: bool = False,
@@ -71,18 +74,24 @@ def read_raw(spark: SparkSession, base: str, entity: str, ds=None, as_text: bool
         fields = [*fields, T.StructField(CORRUPT, T.StringType())]
     root = f"{base}/{entity}"
     days = landed_days(spark, base, entity, layout)
+    n_landed = len(days)
     if ds is not None or dates is not None:
         wanted = {str(d) for d in ([ds] if ds is not None else dates)}
         days = [d for d in days if d in wanted]
     if not days:
-        return spark.createDataFrame([], T.StructType([*fields, T.StructField("path_dt", T.DateType())]))
+        extra = [T.StructField("path_dt", T.DateType())] + ([T.StructField(SOURCE, T.StringType())] if as_text else [])
+        return spark.createDataFrame([], T.StructType([*fields, *extra]))
     reader = spark.read.schema(T.StructType(fields)).option("multiLine", str(layout.multiline).lower())
     if as_text:
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
+    day = F.regexp_extract(F.col("_metadata.file_path"), rf"/{layout.folder}=(\d{{4}}-\d{{2}}-\d{{2}})/", 1).cast("date")
+    file = [F.col("_metadata.file_path").alias(SOURCE)] if as_text else []
+    if len(days) > MANY_DAYS and 2 * len(days) > n_landed:
+        # one root, listed in parallel; its folder names add no column beside the record's dt
+        found = reader.option("recursiveFileLookup", "true").json(root).select("*", day.alias("path_dt"), *file)
+        return found if len(days) == n_landed else found.where(in_dates("path_dt", days))
     # each folder is a root of its own, so its name adds no column beside the record's dt
-    found = reader.json([f"{root}/{layout.folder}={d}" for d in days])
-    day = F.regexp_extract(F.col("_metadata.file_path"), rf"/{layout.folder}=(\d{{4}}-\d{{2}}-\d{{2}})/", 1)
-    return found.select("*", day.cast("date").alias("path_dt"))
+    return reader.json([f"{root}/{layout.folder}={d}" for d in days]).select("*", day.alias("path_dt"), *file)
 
 
 def landed_days(spark: SparkSession, base: str, entity: str, layout: Layout | None = None) -> list[str]:
@@ -124,4 +133,5 @@ def marked_rows(raw_text: DataFrame, entity: str) -> DataFrame:
         if CORRUPT in has:
             other = other & F.col(CORRUPT).isNull()
         checks.append(F.when(other, F.lit("dt differs from folder")))
-    return raw_text.select(*typed, F.concat_ws("; ", *checks).alias("reject_reason"), text.alias("raw"))
+    kept = [c for c in (SOURCE, "path_dt") if c in has]
+    return raw_text.select(*typed, F.concat_ws("; ", *checks).alias("reject_reason"), text.alias("raw"), *kept)

@@ -1,39 +1,66 @@
-"""Incremental ingest of newly landed dates (M1).
-
-A file stream over the orders landing zone replaces the "new data
-triggers the next job" wiring: each micro-batch only tells which dates
-received files; those dates are then recomputed from ALL raw files of
-the date (not from the batch rows), through ingest, star, aggregates
-and anomalies.  A replayed batch therefore rewrites the same partitions
-with the same rows (idempotent), and the checkpoint keeps the file-source
-offsets so a second run with no new file does nothing.  Loaded dates that a
-late date changes are computed again, so the tables are the same for any
-arrival order and any batch size.
+"""Incremental ingest of newly landed files (M1).
+
+A file stream over the landing zone replaces the "new data triggers the next
+job" wiring.  Three entities land: orders by date, sellers and products as
+snapshots.  Each micro-batch only tells which folders received files:
+
+* an orders folder touches its date;
+* a snapshot folder of date ``s`` touches the landed order dates from ``s`` up to
+  the next snapshot of the entity, which are the dates that take it over.
+
+Touched dates are then recomputed from ALL raw files (not from the batch
+rows), through ingest, star, aggregates and anomalies.  A replayed batch
+therefore publishes the same rows (idempotent), and the checkpoint keeps the
+file-source offsets so a second run with no new file does nothing.  Loaded
+dates that a late date changes are computed again, so the tables are the same
+for any arrival order and any batch size.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from souk import schemas as S
+from souk.operators.sinks import path_exists
 from souk.plans import pipeline
-from souk.sources.landing import text_schema
+from souk.sources import landing
+
+ENTITIES = ("orders", "sellers", "products")
+
 
-_STREAM_SCHEMA = T.StructType(text_schema(S.ORDERS).fields + [T.StructField("folder_dt", T.DateType())])
+def landed_files(spark: SparkSession, wh: pipeline.Warehouse) -> DataFrame:
+    """Streaming frame ``entity, dt``: the folders of newly landed files (entities that have landed before)."""
+    frames = []
+    for entity in ENTITIES:
+        if path_exists(spark, f"{wh.raw()}/{entity}"):
+            schema = T.StructType(landing.text_schema(landing.ENTITY_SCHEMAS[entity]).fields + [T.StructField("folder_dt", T.DateType())])
+            src = spark.readStream.schema(schema).json(f"{wh.raw()}/{entity}")
+            frames.append(src.select(F.lit(entity).alias("entity"), F.col("folder_dt").alias("dt")))
+    if not frames:
+        raise pipeline.EmptySourceError("nothing has landed")
+    return reduce(DataFrame.unionByName, frames)
 
 
-def landed_dates(spark: SparkSession, wh: pipeline.Warehouse) -> DataFrame:
-    """Streaming frame of the folder dates of newly landed order files."""
-    src = spark.readStream.schema(_STREAM_SCHEMA).json(f"{wh.raw()}/orders")
-    return src.select(F.col("folder_dt").alias("dt"))
+def touched_dates(spark: SparkSession, wh: pipeline.Warehouse, folders: list[tuple[str, str]]) -> list[str]:
+    """The order dates that the landed ``folders`` (entity, date) touch."""
+    days = landing.landed_days(spark, wh.raw(), "orders")
+    out = {d for e, d in folders if e == "orders"}
+    for entity in ENTITIES[1:]:
+        new = [d for e, d in folders if e == entity]
+        snapshots = landing.landed_days(spark, wh.raw(), entity) if new else []
+        for s in new:
+            until = min((d for d in snapshots if d > s), default="9999-99-99")
+            out |= {d for d in days if s <= d < until}
+    return sorted(out)
 
 
 def process_batch(spark: SparkSession, wh: pipeline.Warehouse, batch: DataFrame) -> None:
-    """Recompute every date touched by the batch (one row per date reaches the driver)."""
-    dates = sorted(str(r[0]) for r in batch.select("dt").distinct().collect() if r[0] is not None)
-    if dates:
+    """Recompute every date touched by the batch (one row per folder reaches the driver)."""
+    folders = [(r.entity, str(r.dt)) for r in batch.select("entity", "dt").distinct().collect() if r.dt is not None]
+    if dates := touched_dates(spark, wh, folders):
         pipeline.backfill(spark, wh, dates)
 
 
@@ -45,7 +72,7 @@ def run_incremental(spark: SparkSession, wh: pipeline.Warehouse, checkpoint: str
         batches.append(epoch_id)
         process_batch(spark, wh, df)
 
-    q = (landed_dates(spark, wh).writeStream.foreachBatch(on_batch)
+    q = (landed_files(spark, wh).writeStream.foreachBatch(on_batch)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return len(batches)
