@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from souk.operators.store import Store
+from souk.operators.store import Store, folder_names
 
 
 # --- frame-level operators -------------------------------------------------
@@ -102,10 +102,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def list_partitions(spark: SparkSession, path: str, part: str) -> list[str]:
     """Values of the partition folders below ``path`` (folder names only)."""
-    jp = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jp.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = [f.getPath().getName() for f in fs.listStatus(jp)] if fs.exists(jp) else []
-    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{part}="))
+    return sorted(n.split("=", 1)[1] for n in folder_names(spark, path) if n.startswith(f"{part}="))
 
 
 # --- tables of dates ---------------------------------------------------------

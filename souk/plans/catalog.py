@@ -459,49 +459,50 @@ def _check_domains(spark, sf):
 
 # --- K: pipelines ----------------------------------------------------------------------
 
-_WAREHOUSES: dict[tuple[str, str], tuple[pipeline.Warehouse, list]] = {}
-
-
 def _fact_dates(spark, sf) -> list:
     """The order dates, from the order headers that have a line (no dedup needed); one per calendar day."""
     return [r[0] for r in Fixture(spark, sf).order_dates.collect()]
 
 
-def _landed_warehouse(spark, sf, shared: bool = True) -> tuple[pipeline.Warehouse, list]:
-    """Land the fixture and run K1-K4 for every date (K7), once per session and folder.
-
-    Orders land per date, sellers/products as a snapshot at ds.  The
-    pipeline keys read different layers of this one run.
-    """
-    key = (spark.sparkContext.applicationId, sf)
-    if shared and key in _WAREHOUSES and sinks.path_exists(spark, _WAREHOUSES[key][0].root):
-        return _WAREHOUSES[key]
-    fx = Fixture(spark, sf)
-    fact = fx.fact
-    dates = _fact_dates(spark, sf)
-    ds = max(dates)
+def _landed(spark, sf) -> tuple[pipeline.Warehouse, list]:
+    """A warehouse of its own per key: orders landed per date, sellers and
+    products as a snapshot at the latest date."""
+    fx, dates = Fixture(spark, sf), _fact_dates(spark, sf)
     wh = pipeline.Warehouse(shared_dir(spark, "warehouse"))
-    landing.land(fact, wh.raw(), "orders", spread=["order_id"], n_dates=len(dates))
-    landing.land(fx.sellers, wh.raw(), "sellers", ds=ds)
-    landing.land(fx.products, wh.raw(), "products", ds=ds)
-    pipeline.backfill(spark, wh, dates)
-    if shared:
-        _WAREHOUSES[key] = (wh, dates)
+    landing.land(fx.fact, wh.raw(), "orders", spread=["order_id"], n_dates=len(dates))
+    landing.land(fx.sellers, wh.raw(), "sellers", ds=max(dates))
+    landing.land(fx.products, wh.raw(), "products", ds=max(dates))
     return wh, dates
 
 
 @query("pipeline_ingest")
 def _pipeline_ingest(spark, sf):
-    wh, _ = _landed_warehouse(spark, sf)
+    wh, dates = _landed(spark, sf)
+    pipeline.ingest(spark, wh, dates=dates)
     return pipeline.read_table(spark, wh, "staging", "orders")
 
 
 @query("pipeline_star_fact")
 def _pipeline_star_fact(spark, sf):
-    wh, _ = _landed_warehouse(spark, sf)
+    wh, dates = _landed(spark, sf)
+    pipeline.ingest(spark, wh, dates=dates)
+    pipeline.build_star(spark, wh, dates=dates)
     return pipeline.read_table(spark, wh, "dwh", "fact_orders")
 
 
+@query("pipeline_gate")
+def _pipeline_gate(spark, sf):
+    """K1 on the source's own rows, repeated order ids and all: the dates that
+    pass the gate, with their staged rows."""
+    fx, dates = Fixture(spark, sf), _fact_dates(spark, sf)
+    wh = pipeline.Warehouse(shared_dir(spark, "warehouse"))
+    landing.land(fx.raw_orders, wh.raw(), "orders", spread=["order_id"], n_dates=len(dates))
+    landing.land(fx.sellers, wh.raw(), "sellers", ds=max(dates))
+    landing.land(fx.products, wh.raw(), "products", ds=max(dates))
+    pipeline.ingest(spark, wh, dates=dates)
+    return pipeline.read_table(spark, wh, "staging", "orders").groupBy("dt").agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"))
+
+
 def _long_form(spark, wh) -> DataFrame:
     r = lambda t: pipeline.read_table(spark, wh, "analytics", t)
     ts = r("top_sellers").select(F.lit("top_sellers").alias("table_name"), "dt", F.col("seller_id").alias("key"),
@@ -520,7 +521,10 @@ def _long_form(spark, wh) -> DataFrame:
 
 @query("pipeline_aggregate")
 def _pipeline_aggregate(spark, sf):
-    wh, _ = _landed_warehouse(spark, sf)
+    wh, dates = _landed(spark, sf)
+    pipeline.ingest(spark, wh, dates=dates)
+    pipeline.build_star(spark, wh, dates=dates)
+    pipeline.aggregate(spark, wh, dates=dates)
     return _long_form(spark, wh)
 
 
@@ -546,7 +550,8 @@ def _alert_events(spark, sf):
 def _rerun_idempotent(spark, sf):
     """K6: a second run over all dates; every table, whole, against the first
     run's.  A table that differs in any row gets a row count of -1."""
-    wh, dates = _landed_warehouse(spark, sf, shared=False)      # it rewrites its tables
+    wh, dates = _landed(spark, sf)
+    pipeline.backfill(spark, wh, dates)
     first = pipeline.table_contents(spark, wh)
     pipeline.backfill(spark, wh, dates)          # second run over the same dates
     return pipeline.same_summary(pipeline.table_summary(spark, wh), first, pipeline.table_contents(spark, wh))
@@ -570,21 +575,32 @@ def _dim_category(spark, sf):
 
 # --- L: dashboard reads, from the published tables ---------------------------------------
 
-def _published(read) -> Query:
+def _published(table: str, read) -> Query:
+    """Publish one analytics table for every date, with the dimensions it needs;
+    then the dashboard's read of the latest date."""
     def run(spark, sf):
-        return read(spark, _landed_warehouse(spark, sf)[0])
+        fx, days = Fixture(spark, sf), [str(d) for d in _fact_dates(spark, sf)]
+        wh = pipeline.Warehouse(shared_dir(spark, "warehouse"))
+        tx = wh.store(spark).begin()
+        for dim, rows, tables in (("dim_seller", fx.sellers, ("top_sellers", "anomalies")), ("dim_product", fx.products, ("category_breakdown",))):
+            if table in tables:
+                schema, keys = pipeline.KEYED_SCHEMAS[("dwh", dim)]
+                tx.upsert(f"dwh/{dim}", rows, keys, schema)
+        pipeline.publish(tx, table, fx.fact, days)
+        tx.commit()
+        return read(spark, wh, max(days))
     return run
 
 
 QUERIES.update({
-    "kpi_day": _published(dashboard.kpi_day),
-    "kpi_anomaly_count": _published(dashboard.kpi_anomaly_count),
-    "revenue_trend_7d": _published(dashboard.revenue_trend),
-    "top_10_sellers": _published(dashboard.top_sellers),
-    "category_ranked": _published(dashboard.categories_ranked),
-    "category_domain": _published(dashboard.category_domain),
-    "active_ratio": _published(dashboard.active_share),
-    "anomalies_ranked": _published(dashboard.anomalies_ranked),
+    "kpi_day": _published("daily_revenue", dashboard.kpi_day),
+    "kpi_anomaly_count": _published("anomalies", dashboard.kpi_anomaly_count),
+    "revenue_trend_7d": _published("daily_revenue", dashboard.revenue_trend),
+    "top_10_sellers": _published("top_sellers", dashboard.top_sellers),
+    "category_ranked": _published("category_breakdown", dashboard.categories_ranked),
+    "category_domain": _published("category_breakdown", dashboard.category_domain),
+    "active_ratio": _published("customer_activity", lambda spark, wh, _: dashboard.active_share(spark, wh)),
+    "anomalies_ranked": _published("anomalies", dashboard.anomalies_ranked),
 })
 
 
@@ -593,8 +609,7 @@ QUERIES.update({
 @query("stream_ingest")
 def _stream_ingest(spark, sf):
     from souk.streaming.stream import run_incremental
-    landed, _ = _landed_warehouse(spark, sf)
-    wh = pipeline.Warehouse(shared_dir(spark, "warehouse"), raw_root=landed.raw())
+    wh, _ = _landed(spark, sf)
     checkpoint = f"{wh.root}/_checkpoints/orders"
     run_incremental(spark, wh, checkpoint)
     run_incremental(spark, wh, checkpoint)   # nothing new: no batch, tables unchanged

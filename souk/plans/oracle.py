@@ -261,6 +261,10 @@ _BODIES = {
     # K: pipelines
     "pipeline_ingest": "SELECT * FROM fact",
     "pipeline_star_fact": "SELECT * FROM fact",
+    "pipeline_gate": """
+        SELECT dt, CAST(COUNT(*) AS BIGINT) AS n_rows FROM raw_orders LEFT JOIN sellers s USING (seller_id) GROUP BY dt
+        HAVING COUNT(*) = COUNT(DISTINCT order_id) AND COUNT(*) FILTER (WHERE total_amount <= 0) = 0
+           AND COUNT(*) = COUNT(s.name) AND COUNT(*) = COUNT(CASE WHEN status IN ('completed', 'pending', 'cancelled', 'refunded') THEN 1 END)""",
     "pipeline_aggregate": """
         SELECT 'top_sellers' AS table_name, dt, seller_id AS key, revenue, nb_orders AS n FROM top_sellers_all
         UNION ALL SELECT 'daily_revenue', dt, NULL, revenue, nb_orders FROM daily_all

@@ -322,15 +322,31 @@ def aggregate(spark: SparkSession, wh: Warehouse, ds=None, dates=None) -> int:
     def job(tx: Transaction) -> int:
         days = _chosen(tx, FACT, ds, dates)
         fact = _read(tx, "dwh", "fact_orders", days)
-        put = lambda table, df, sort=None: tx.replace(f"analytics/{table}", df, "dt", days, TABLE_SCHEMAS[("analytics", table)], sort)
-        n = put("top_sellers", metrics.top_sellers(fact, _read(tx, "dwh", "dim_seller")), ["seller_id"])
-        put("daily_revenue", metrics.daily_revenue_of(fact, _days(spark, days)))
-        put("category_breakdown", metrics.category_breakdown(fact, _read(tx, "dwh", "dim_product")))
-        activity.update(tx, fact, days)
+        n = publish(tx, "top_sellers", fact, days)
+        for table in ("daily_revenue", "category_breakdown", "customer_activity"):
+            publish(tx, table, fact, days)
         return n
     return in_commit(spark, wh, job)
 
 
+def publish(tx: Transaction, table: str, fact: DataFrame, days: list[str], threshold=S.ANOMALY_THRESHOLD_PCT) -> int:
+    """Replace one analytics table's rows of ``days`` from ``fact``, which holds
+    the orders of these days (anomalies: and of the look-back before each).
+    Returns the rows written."""
+    if table == "customer_activity":
+        activity.update(tx, fact, days)
+        return len(days)
+    if table == "anomalies":
+        found = anomaly.detect_anomalies_all(fact, _read(tx, "dwh", "dim_seller"), threshold, dates=days)
+        return tx.replace(ANOMALIES, _with_ids(tx, found, days), "dt", days, S.STORED_ANOMALIES, ["seller_id"])
+    rows, sort = {
+        "top_sellers": lambda: (metrics.top_sellers(fact, _read(tx, "dwh", "dim_seller")), ["seller_id"]),
+        "daily_revenue": lambda: (metrics.daily_revenue_of(fact, _days(tx.spark, days)), None),
+        "category_breakdown": lambda: (metrics.category_breakdown(fact, _read(tx, "dwh", "dim_product")), None),
+    }[table]()
+    return tx.replace(f"analytics/{table}", rows, "dt", days, TABLE_SCHEMAS[("analytics", table)], sort)
+
+
 # --- K4 / K5 anomalies --------------------------------------------------------------
 
 def detect(spark: SparkSession, wh: Warehouse, ds=None, dates=None,
@@ -342,9 +358,7 @@ def detect(spark: SparkSession, wh: Warehouse, ds=None, dates=None,
     def job(tx: Transaction) -> int:
         days = _chosen(tx, FACT, ds, dates)
         read = {str(_dt.date.fromisoformat(d) - _dt.timedelta(days=k)) for d in days for k in range(S.MOVING_AVG_DAYS + 1)}
-        found = anomaly.detect_anomalies_all(_read(tx, "dwh", "fact_orders", read), _read(tx, "dwh", "dim_seller"), threshold, dates=days)
-        rows = _with_ids(tx, found, days)
-        n = tx.replace(ANOMALIES, rows, "dt", days, S.STORED_ANOMALIES, ["seller_id"])
+        n = publish(tx, "anomalies", _read(tx, "dwh", "fact_orders", read), days, threshold)
         tx.replace("analytics/alerts", anomaly.alert_events(tx.read(ANOMALIES, S.ANOMALIES, days, "dt")), "dt", days, ALERTS)
         return n
     return in_commit(spark, wh, job)

@@ -14,6 +14,7 @@ Staged rows and rejects together are all landed records.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -88,12 +89,25 @@ def read_raw(spark: SparkSession, base: str, entity: str, ds=None, as_text: bool
     file = [F.col("_metadata.file_path").alias(SOURCE)] if as_text else []
     if len(days) > MANY_DAYS and 2 * len(days) > n_landed:
         # one root, listed in parallel; its folder names add no column beside the record's dt
-        found = reader.option("recursiveFileLookup", "true").json(root).select("*", day.alias("path_dt"), *file)
+        with _listing_tasks(spark):
+            found = reader.option("recursiveFileLookup", "true").json(root).select("*", day.alias("path_dt"), *file)
         return found if len(days) == n_landed else found.where(in_dates("path_dt", days))
     # each folder is a root of its own, so its name adds no column beside the record's dt
     return reader.json([f"{root}/{layout.folder}={d}" for d in days]).select("*", day.alias("path_dt"), *file)
 
 
+@contextmanager
+def _listing_tasks(spark: SparkSession):
+    """List folders with a few tasks per core; by default it is a task per folder."""
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), 4 * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def landed_days(spark: SparkSession, base: str, entity: str, layout: Layout | None = None) -> list[str]:
     """Dates that have a folder, by listing (no file is opened)."""
     return list_partitions(spark, f"{base}/{entity}", (layout or Layout()).folder)
