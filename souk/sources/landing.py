@@ -89,7 +89,7 @@ def read_raw(spark: SparkSession, base: str, entity: str, ds=None, as_text: bool
     file = [F.col("_metadata.file_path").alias(SOURCE)] if as_text else []
     if len(days) > MANY_DAYS and 2 * len(days) > n_landed:
         # one root, listed in parallel; its folder names add no column beside the record's dt
-        with _listing_tasks(spark):
+        with listing_tasks(spark):
             found = reader.option("recursiveFileLookup", "true").json(root).select("*", day.alias("path_dt"), *file)
         return found if len(days) == n_landed else found.where(in_dates("path_dt", days))
     # each folder is a root of its own, so its name adds no column beside the record's dt
@@ -97,7 +97,7 @@ def read_raw(spark: SparkSession, base: str, entity: str, ds=None, as_text: bool
 
 
 @contextmanager
-def _listing_tasks(spark: SparkSession):
+def listing_tasks(spark: SparkSession):
     """List folders with a few tasks per core; by default it is a task per folder."""
     key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
     before = spark.conf.get(key)

@@ -72,7 +72,8 @@ def run_incremental(spark: SparkSession, wh: pipeline.Warehouse, checkpoint: str
         batches.append(epoch_id)
         process_batch(spark, wh, df)
 
-    q = (landed_files(spark, wh).writeStream.foreachBatch(on_batch)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
+    with landing.listing_tasks(spark):
+        q = (landed_files(spark, wh).writeStream.foreachBatch(on_batch)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+        q.awaitTermination()
     return len(batches)
