@@ -18,11 +18,12 @@ groups repeats the partitioning under another hash, as any partner that agrees
 with it only there must do too (the last repetition emits empty choices).
 
 Equal sets are one node from the start.  In each shared signature the nodes
-are first held against the signature's smallest node only; pairs whose ends
-are still in different groups after that are then held against each other, in
-blocks of bounded size: a 2048-bit parity sketch gives a lower bound of their
-Hamming distance, and pairs that it cannot exclude are verified.  So no link
-that could join two groups is lost, and no group's pairs are written out.
+are first held against the signature's smallest node only.  Where a signature
+still has several groups after that, the groups are held against each other, in
+blocks of bounded size: 2048-bit parity sketches give a lower bound of the
+Hamming distance of their sets, and where it cannot exclude a link the sets
+themselves are compared so and then verified.  So no link that could join two
+groups is lost, and no group's pairs are written out.
 """
 
 from __future__ import annotations
@@ -180,11 +181,11 @@ def _signature_rows(n: int, similarity: int, n2: int, k2: int, bitmap=None):
 
 
 def _sketch(s: np.ndarray) -> np.ndarray:
-    """Parity of the number of elements per bin; two sets' sketches differ in
-    at most as many bits as the sets differ in elements."""
+    """Parity of the number of elements per bin, as 64-bit words; two sets'
+    sketches differ in at most as many bits as the sets differ in elements."""
     spot = (mix64(s ^ _U(0x3C6EF372FE94F82B)) % _U(SKETCH_WORDS * 64)).astype(np.int64)
     odd = (np.bincount(spot, minlength=SKETCH_WORDS * 64) & 1).astype(np.uint8)
-    return np.packbits(odd)
+    return np.packbits(odd).view(np.int64)
 
 
 def _set_rows(n: int):
@@ -192,7 +193,7 @@ def _set_rows(n: int):
     def run(batches):
         for pdf in batches:
             for part in _pieces(pdf):
-                rows = [(k, s.astype(np.int64), _sketch(s).tobytes()) for k, s in
+                rows = [(k, s.astype(np.int64), _sketch(s)) for k, s in
                         zip(part["set_key"].tolist(), _sets(part["text"].tolist(), n)) if _key(s) == k]
                 yield pd.DataFrame(rows, columns=["set_key", "shingles", "sketch"])
     return run
@@ -210,60 +211,98 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
 
 
 def _undecided(similarity: int):
-    """Pairs of one (signature, block, block) in different groups that the sketches cannot exclude."""
+    """Pairs of one (signature, block, block) in different groups that the
+    sketches cannot exclude.
+
+    An entry is a set or a group of sets with the bits that all (``every``) and
+    that any (``some``) of its sets have: a bit that all sets of one entry have and
+    none of the other's tells each pair of their sets apart.  Pairs of single
+    sets are given out once a task (``sig`` null); pairs with a group with their
+    signature.
+    """
     def pairs(part: pd.DataFrame):
-        key, label = part["set_key"].to_numpy(), part["label"].to_numpy()
+        key, label, node, n = (part[c].to_numpy() for c in ("key", "label", "node", "n"))
         size, mine = part["size"].to_numpy(), part["side"].to_numpy() == part["bi"].to_numpy()
-        bits = np.frombuffer(b"".join(part["sketch"]), dtype=_U).reshape(len(part), SKETCH_WORDS)
+        every, some = (np.concatenate(part[c].to_list()).astype(np.int64).reshape(len(part), SKETCH_WORDS) for c in ("every", "some"))
         same = bool(part["bi"].iloc[0] == part["bj"].iloc[0])
+        sig = int(part["sig"].iloc[0])
         for i in np.flatnonzero(mine):
             other = np.flatnonzero((label != label[i]) & (key > key[i] if same else ~mine))
             if not len(other):
                 continue
-            least = np.bitwise_count(bits[other] ^ bits[i]).sum(axis=1, dtype=np.int64)
+            apart = (every[other] & ~some[i]) | (every[i] & ~some[other])
+            least = np.bitwise_count(apart).sum(axis=1, dtype=np.int64)
             for j in other[least * (100 + similarity) <= (100 - similarity) * (size[other] + size[i])]:
-                yield int(min(key[i], key[j])), int(max(key[i], key[j]))
+                if n[i] == 1 and n[j] == 1:
+                    yield int(min(node[i], node[j])), int(max(node[i], node[j])), None
+                else:
+                    yield int(min(label[i], label[j])), int(max(label[i], label[j])), sig
 
     def run(batches):
         rest, by = None, ["sig", "bi", "bj"]
-        seen: set[tuple[int, int]] = set()
+        seen: set[tuple] = set()
 
-        def fresh(found) -> list[tuple[int, int]]:
+        def fresh(found) -> pd.DataFrame:
             if len(seen) > _SEEN_MAX:
                 seen.clear()
-            out = sorted(set(found) - seen)
+            out = list(set(found) - seen)
             seen.update(out)
-            return out
+            cols = list(zip(*out)) or [(), (), ()]
+            return pd.DataFrame({"a": pd.array(cols[0], dtype="Int64"), "b": pd.array(cols[1], dtype="Int64"), "sig": pd.array(cols[2], dtype="Int64")})
 
         for pdf in batches:
             pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
             change = np.flatnonzero((pdf[by].to_numpy()[1:] != pdf[by].to_numpy()[:-1]).any(axis=1)) + 1
             cut = np.concatenate(([0], change))
-            rest = pdf.iloc[cut[-1]:]
-            found = fresh(p for x, y in zip(cut[:-1], cut[1:]) for p in pairs(pdf.iloc[x:y]))
-            if found:
-                yield pd.DataFrame(found, columns=["a", "b"])
-        if rest is not None and (found := fresh(pairs(rest))):
-            yield pd.DataFrame(found, columns=["a", "b"])
+            rest = pdf.iloc[cut[-1]:]                # at most two blocks
+            yield fresh(p for x, y in zip(cut[:-1], cut[1:]) for p in pairs(pdf.iloc[x:y]))
+        if rest is not None and len(rest):
+            yield fresh(pairs(rest))
     return run
 
 
+def _held_against(entries: DataFrame, similarity: int) -> DataFrame:
+    """Undecided pairs among the ``entries`` (``sig, key, label, node, n, size,
+    every, some``) of each signature, in blocks of bounded size."""
+    blocks = entries.groupBy("sig").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    dealt = (entries.join(blocks, "sig")
+             .withColumn("side", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+             .withColumn("t", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("sig", F.least("side", "t").alias("bi"), F.greatest("side", "t").alias("bj"),
+                     "side", "key", "label", "node", "n", "size", "every", "some"))
+    return (dealt.repartition("sig", "bi", "bj").sortWithinPartitions("sig", "bi", "bj")
+            .mapInPandas(_undecided(similarity), "a long, b long, sig long"))
+
+
 def _open_pairs(every: DataFrame, label: DataFrame, sets: DataFrame, tested: DataFrame, similarity: int) -> DataFrame:
-    """Untested pairs that share a signature, lie in different groups and may link."""
-    held = (every.join(label, F.col("set_key") == F.col("node"), "left")
-            .select("sig", "low", "set_key", F.coalesce("component", "set_key").alias("label")))
+    """Untested pairs that share a signature, lie in different groups and may link.
+
+    First the groups themselves are held against each other, one entry per
+    signature and group however many sets it has; only groups that their common
+    bits cannot tell apart are taken to their sets.
+    """
+    spark = every.sparkSession
+    held = saved(every.join(label, F.col("set_key") == F.col("node"), "left")
+                 .select("sig", "set_key", F.coalesce("component", "set_key").alias("label")), "held")
     mixed = (held.groupBy("sig").agg(F.min("label").alias("l"), F.max("label").alias("h"), F.count("*").alias("c"))
-             .where("l <> h and c > 2").select("sig", F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks")))
-    facts = sets.select("set_key", F.size("shingles").cast("long").alias("size"), "sketch")
-    held = (held.join(mixed, "sig").join(facts, "set_key")
-            .withColumn("side", F.pmod(F.xxhash64("set_key"), F.col("blocks")).cast("int"))
-            .withColumn("t", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("sig", "low", F.least("side", "t").alias("bi"), F.greatest("side", "t").alias("bj"),
-                    "side", "set_key", "label", "size", "sketch"))
-    # signatures with the same smallest node mostly have the same nodes: side by side, a pair is given out once
-    found = (held.repartition("low", "bi", "bj").sortWithinPartitions("sig", "bi", "bj")
-             .mapInPandas(_undecided(similarity), "a long, b long").distinct())
-    return saved(found.join(tested, ["a", "b"], "left_anti"), "open")
+             .where("l <> h and c > 2").select("sig"))
+    bits = [F.get("sketch", i) for i in range(SKETCH_WORDS)]
+    facts = saved(sets.join(held.select("set_key", "label").distinct(), "set_key").groupBy("label").agg(
+        F.count("*").alias("n"), F.max(F.size("shingles")).cast("long").alias("size"),
+        F.array(*[F.bit_and(b) for b in bits]).alias("every"), F.array(*[F.bit_or(b) for b in bits]).alias("some")), "facts")
+    groups = (held.join(mixed, "sig").groupBy("sig", "label").agg(F.min("set_key").alias("node"))
+              .join(facts, "label").withColumn("key", F.col("label")))
+    found = saved(_held_against(groups, similarity), "undecided")
+    pairs = found.where("sig is null").select("a", "b")
+    wide = found.where("sig is not null").select("sig", F.explode(F.array("a", "b")).alias("label")).distinct()
+    own = sets.select("set_key", F.size("shingles").cast("long").alias("size"), F.col("sketch").alias("every"), F.col("sketch").alias("some"))
+    single = (held.join(wide, ["sig", "label"]).join(own, "set_key")
+              .select("sig", F.col("set_key").alias("key"), "label", F.col("set_key").alias("node"), F.lit(1).cast("long").alias("n"),
+                      "size", "every", "some"))
+    pairs = pairs.union(_held_against(single, similarity).select("a", "b")).distinct()
+    out = saved(pairs.join(tested, ["a", "b"], "left_anti"), "open")
+    drop_saved(spark, held, facts, found)
+    return out
 
 
 def near_duplicates(df: DataFrame, n: int = 5, similarity: int = 80, n2: int = 3, k2: int = 1,
@@ -293,7 +332,7 @@ def near_duplicates(df: DataFrame, n: int = 5, similarity: int = 80, n2: int = 3
     wanted = saved(nodes.join(keys, "set_key").select("set_key", F.col("rep").alias("doc_id")), "wanted")
     few = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
     sets = saved(docs.join(few, "doc_id").select("set_key", "text").mapInPandas(
-        _set_rows(n), "set_key long, shingles array<long>, sketch binary"), "sets")
+        _set_rows(n), "set_key long, shingles array<long>, sketch array<long>"), "sets")
 
     tested = saved(members.where("set_key <> low").select(F.col("low").alias("a"), F.col("set_key").alias("b"))
                    .distinct(), "pairs")

@@ -7,9 +7,9 @@ SF = "/root/testdata/sf0.001"
 
 def test_every_dealt_query_and_the_pipeline_are_registered():
     names = list(__spark_entry__.queries())
-    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)) and "pipeline" in names
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "ngram_join", "decontamination", "mixing", "sharding"]
-    assert len(queries.QUERIES) == 10
+    assert len(queries.QUERIES) == 13
 
 
 def test_stages_decide_on_what_their_predecessor_kept(spark):
@@ -44,3 +44,14 @@ def test_empty_and_odd_rows_pass(spark):
         for _, stage in corpus_pipeline.STAGES:
             frame = stage(spark, frame, SF)
         frame.collect()
+
+
+def test_near_copies_and_contamination_are_decided_by_rows(spark):
+    a, b = ("the first long text of many plain words in a row " * 2).strip(), ("some other passage with quite different words here " * 2).strip()
+    rows = [(1, a), (2, b), (2, a), (1, a), (3, b + " more"), (None, a), (4, None), (4, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").coalesce(1)
+    kept = sorted(((r.doc_id, r.text) for r in corpus_pipeline.one_of_each_group(spark, docs, SF).collect()), key=str)
+    assert kept == sorted([(1, a), (2, b), (4, None), (4, None)], key=str)
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
+    mixed = spark.createDataFrame([(7, item, "en", "s", 1), (7, a, "en", "s", 1), (None, item, "en", "s", 1)], docs.schema).coalesce(1)
+    assert [(r.doc_id, r.text) for r in corpus_pipeline.drop_contaminated(spark, mixed, SF).collect()] == [(7, a)]
