@@ -17,15 +17,22 @@ from souk.llm import decontam, mixing, ngram_join, sharding, toxicity
 from souk.llm.common import drop_saved, held_out, saved
 
 SHARDS = 40
-BROADCAST_IDS = 1_000_000     # ids (8 bytes each) that may be broadcast; checked by a count
+BROADCAST_ROWS = 1_000_000    # row numbers (8 bytes each) that may be broadcast; checked by a count
+ROW = "_pipeline_row"
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose id is in ``ids``."""
-    ids = saved(ids.where("doc_id is not null").distinct(), "gone")
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    return docs.join(ids, "doc_id", "left_anti").select(docs.columns)
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number per row: an id may stand on several rows, or on none.
+    The numbers of a stored table are the same in every read."""
+    return docs.withColumn(ROW, F.monotonically_increasing_id())
+
+
+def _without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """The numbered ``rows`` without those whose number is in ``gone``."""
+    gone = saved(gone.select(ROW).distinct(), "gone")
+    if gone.count() <= BROADCAST_ROWS:
+        gone = F.broadcast(gone)
+    return rows.join(gone, ROW, "left_anti").drop(ROW)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,16 +44,22 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the smallest id of every group of near duplicates (5-word
-    shingles, similarity 0.8).  Rows without an id stay."""
-    groups = ngram_join.near_duplicates(docs, n=5, similarity=80)
-    return _without(docs, groups.where("component_id <> doc_id").select("doc_id"))
+    """Keep one row of every group of near duplicates (5-word shingles,
+    similarity 0.8): that of the smallest id.  Rows are judged one by one, so of a
+    repeated row one stays and an id on two texts loses neither for the other's sake."""
+    rows = _numbered(docs)
+    groups = ngram_join.near_duplicates(rows, n=5, similarity=80, id_col=ROW).select(F.col("doc_id").alias(ROW), "component_id")
+    with_id = saved(groups.join(rows.select(ROW, "doc_id"), ROW), "groups")
+    first = with_id.groupBy("component_id").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", ROW)).alias("k")).select(F.col(f"k.{ROW}").alias(ROW))
+    return _without(rows, with_id.join(first, ROW, "left_anti"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
-    found = decontam.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return _without(docs, found.select("doc_id"))
+    """Rows that hold a benchmark item go."""
+    rows = _numbered(docs)
+    found = decontam.contaminated(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col=ROW)
+    return _without(rows, found.select(F.col("doc_id").alias(ROW)))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
