@@ -23,7 +23,9 @@ worker encodes a unit that it remembers only once.
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -37,13 +39,19 @@ from souk.llm.common import mix64, saved
 WIDTH = 2                       # bytes of a stored id; 65,536 ids at most
 CHUNK_IDS = 1 << 20             # ids of a chunk; one text is never split
 BUCKET_KEYS = 16_384            # keys of an index bucket, on average
-CACHE_UNITS = 800_000           # units whose ids a task remembers
+CACHE_UNITS = 600_000           # units whose ids a task remembers
 PIECE_CHARS = 1 << 20           # text encoded at a time
+FEW_CHUNKS = 1_000              # chunks that a keyed read names one by one
+RUN = 4_096                     # keys of one id made at a time
 GAMMA = 2.0                     # bits per key and level
 LEVELS = 48
 
 _U = np.uint64
-SPACE = "\u0120"                # how the byte-level rule writes a space
+# Units that are put together from words: letters (of the Latin blocks) and signs other than the apostrophe.
+PLAIN = re.compile("(\n?)([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]*)([!-&(-/:-@\\[-`{-~]*)").fullmatch
+# How the byte-level rule writes a byte: printing characters stand for themselves, the others follow from 256 on.
+_PRINTING = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+BYTE_CHARS = {b: 256 + i for i, b in enumerate(x for x in range(256) if x not in _PRINTING)}
 
 
 class Encoder:
@@ -67,6 +75,7 @@ class Encoder:
         if self.model.get_vocab_size(with_added_tokens=True) > 1 << 8 * WIDTH:
             raise ValueError("the vocabulary does not fit the stored width")
         self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         out = []
@@ -75,15 +84,32 @@ class Encoder:
                     for e in self.model.encode_batch(texts[i:i + 20_000], add_special_tokens=False)]
         return out
 
+    def _word(self, word: str) -> bytes:
+        """Ids of one word of the byte-level rule, by the model's own merge step."""
+        got = self.words.get(word)
+        if got is None:
+            mapped = word.encode("utf-8").decode("latin-1").translate(BYTE_CHARS)
+            got = self.words[word] = array("H", [t.id for t in self.model.model.tokenize(mapped)]).tobytes()
+        return got
+
     def _tail_ids(self, names: list[str]) -> list[bytes]:
-        """Ids of units after the first.  A unit of ASCII letters is one word of
-        the byte-level rule, so the model's own merge step gives its ids."""
-        model, out, rest = self.model.model, {}, []
+        """Ids of units after the first.
+
+        Letters are one word together with the space before them, signs after
+        them another, and a line feed before them one of its own (the
+        byte-level rule; an apostrophe may begin a word of its kind, so units
+        with one take the long way, as all others do).
+        """
+        out, rest = {}, []
         for n in names:
-            if n.isascii() and n.isalpha():
-                out[n] = np.array([t.id for t in model.tokenize(SPACE + n)], dtype="<u2").tobytes()
-            else:
+            m = PLAIN(n)
+            if m is None:
                 rest.append(n)
+                continue
+            feed, letters, signs = m.groups()
+            first = letters or signs
+            ids = self._word("\n") + self._word(first) if feed else self._word(" " + first)
+            out[n] = ids + self._word(signs) if letters and signs else ids
         out.update(zip(rest, self._ids([n if n[:1] == "\n" else " " + n for n in rest])))
         return [out[n] for n in names]
 
@@ -108,6 +134,7 @@ class Encoder:
         """Little-endian ids of every text and ``end_id``."""
         if len(self.known) > CACHE_UNITS:
             self.known.clear()
+            self.words.clear()
         get, units, got = self.known.get, [], []
         for t in texts:
             head, *tail = self.units(t)
@@ -171,16 +198,22 @@ def entries(chunks: DataFrame) -> DataFrame:
     before it).  Reads no payload."""
     chunk = chunks.select("shard", "chunk", F.element_at("ends", -1).alias("n"))
     shards = chunk.groupBy("shard").agg(F.sum("n").alias("s"))
-    before = shards.select("shard", (F.sum("s").over(Window.orderBy("shard")) - F.col("s")).alias("shard_start"))
+    earlier = shards.select("shard", (F.sum("s").over(Window.orderBy("shard")) - F.col("s")).alias("shard_start"))
     inside = Window.partitionBy("shard").orderBy("chunk")
-    starts = (chunk.withColumn("c", F.sum("n").over(inside) - F.col("n")).join(before, "shard")
+    starts = (chunk.withColumn("c", F.sum("n").over(inside) - F.col("n")).join(earlier, "shard")
               .select("shard", "chunk", (F.col("c") + F.col("shard_start")).alias("chunk_start")))
     texts = (chunks.select("shard", "chunk", F.posexplode(F.arrays_zip("ids", "ends")).alias("i", "x"), F.col("ends").alias("all"))
              .select("shard", "chunk", "i", F.col("x.ids").alias("doc_id"),
                      F.when(F.col("i") > 0, F.get("all", F.col("i") - 1)).otherwise(F.lit(0)).alias("place"), F.col("x.ends").alias("end")))
-    again = Window.partitionBy("doc_id").orderBy("shard", "chunk", "i")
-    return (texts.join(starts, ["shard", "chunk"])
-            .select("doc_id", (F.row_number().over(again) - 1).alias("occurrence"), "shard", "chunk", "place",
+    # occurrences of an id: those of earlier shards first, so an id on very many rows is cut by shards
+    per = texts.groupBy("doc_id", "shard").agg(F.count(F.lit(1)).alias("n"))
+    before = (per.select(F.col("doc_id").alias("_id"), F.col("shard").alias("_shard"), (
+        F.sum("n").over(Window.partitionBy("doc_id").orderBy("shard")) - F.col("n")).alias("_n")).where("_n > 0"))
+    again = Window.partitionBy("doc_id", "shard").orderBy("chunk", "i")
+    numbered = texts.withColumn("_k", F.row_number().over(again) - 1).join(
+        before, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("shard") == F.col("_shard")), "left")
+    return (numbered.join(starts, ["shard", "chunk"])
+            .select("doc_id", (F.col("_k") + F.coalesce("_n", F.lit(0))).alias("occurrence"), "shard", "chunk", "place",
                     (F.col("end") - F.col("place")).alias("n_tokens"), (F.col("chunk_start") + F.col("place")).alias("start")))
 
 
@@ -260,33 +293,58 @@ def _build(pdf: pd.DataFrame) -> pd.DataFrame:
 def build_index(texts: DataFrame) -> tuple[DataFrame, int]:
     """The stored index over :func:`entries` and its number of buckets."""
     texts = saved(texts, "entries")
-    buckets = max(1, -(-texts.count() // BUCKET_KEYS))
+    tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = texts.count()
+    buckets = max(1, -(-n // BUCKET_KEYS), min(tasks, n // 64))       # enough for all tasks
     index = _keyed(texts, buckets).groupBy("bucket").applyInPandas(_build, INDEX_SCHEMA)
     return saved(index, "index"), buckets
 
 
-def _find(keys: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
-    columns = ["doc_id", "occurrence", *_LOCATION]
-    if not len(keys) or not len(index):
-        return pd.DataFrame(columns=columns)
-    row = index.iloc[0]
-    slot = PerfectHash.load(row).slots(keys["h"].to_numpy().astype(np.int64).view(_U))
-    prints = np.frombuffer(row["prints"], dtype="<u4")
-    want = (keys["f"].to_numpy().astype(np.int64) & 0xFFFFFFFF).astype("<u4")
-    ok = (slot >= 0) & (slot < len(prints))
-    ok[ok] = prints[slot[ok]] == want[ok]
-    out = keys.loc[ok, ["doc_id", "occurrence"]].reset_index(drop=True)
-    for c in _LOCATION:
-        out[c] = np.frombuffer(row[c], dtype="<i8")[slot[ok]]
-    return out
+_FOUND = "doc_id long, occurrence long, " + ", ".join(f"{c} long" for c in _LOCATION)
+
+
+def _find(strict: bool):
+    """Locations of one bucket's keys; ``strict``: every key must be there."""
+    def find(keys: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
+        columns = ["doc_id", "occurrence", *_LOCATION]
+        if strict and len(keys) and not len(index):
+            raise ValueError(f"the index has no bucket for {len(keys)} keys")
+        if not len(keys) or not len(index):
+            return pd.DataFrame(columns=columns)
+        row = index.iloc[0]
+        slot = PerfectHash.load(row).slots(keys["h"].to_numpy().astype(np.int64).view(_U))
+        prints = np.frombuffer(row["prints"], dtype="<u4")
+        want = (keys["f"].to_numpy().astype(np.int64) & 0xFFFFFFFF).astype("<u4")
+        ok = (slot >= 0) & (slot < len(prints))
+        ok[ok] = prints[slot[ok]] == want[ok]
+        if strict and not ok.all():
+            raise ValueError(f"{int((~ok).sum())} keys are not in the index, among them {keys['doc_id'][~ok].head(5).tolist()}")
+        out = keys.loc[ok, ["doc_id", "occurrence"]].reset_index(drop=True)
+        for c in _LOCATION:
+            out[c] = np.frombuffer(row[c], dtype="<i8")[slot[ok]]
+        return out
+    return find
 
 
-def lookup(keys: DataFrame, index: DataFrame, buckets: int) -> DataFrame:
+def lookup(keys: DataFrame, index: DataFrame, buckets: int, strict: bool = False) -> DataFrame:
     """Locations of keys ``(doc_id, occurrence)``; unknown keys have no row
-    (but for one in 2**32, which the fingerprint cannot tell)."""
-    schema = "doc_id long, occurrence int, " + ", ".join(f"{c} long" for c in _LOCATION)
-    left = _keyed(keys.select("doc_id", "occurrence"), buckets).groupBy("bucket")
-    return left.cogroup(index.groupBy("bucket")).applyInPandas(_find, schema)
+    (but for one in 2**32, which the fingerprint cannot tell), with ``strict``
+    they are an error."""
+    left = _keyed(keys.select("doc_id", F.col("occurrence").cast("long").alias("occurrence")), buckets).groupBy("bucket")
+    return left.cogroup(index.groupBy("bucket")).applyInPandas(_find(strict), _FOUND)
+
+
+def fetch(keys: DataFrame, chunks: DataFrame, index: DataFrame, buckets: int) -> DataFrame:
+    """``doc_id, occurrence, payload`` of the known ones among ``keys``: the stored
+    bytes of just these texts.  For up to ``FEW_CHUNKS`` chunks only their shards'
+    files and row groups are opened; beyond, the chunks are joined."""
+    at = saved(lookup(keys, index, buckets), "found").select("doc_id", "occurrence", "shard", "chunk", "place", "n_tokens")
+    places = at.select("shard", "chunk").distinct().limit(FEW_CHUNKS + 1).collect()
+    wanted = chunks.select("shard", "chunk", "payload")
+    if len(places) <= FEW_CHUNKS:
+        wanted = wanted.where(F.col("shard").isin([r.shard for r in places]) & F.col("chunk").isin([r.chunk for r in places]))
+    return at.join(wanted, ["shard", "chunk"]).select(
+        "doc_id", "occurrence", F.substring("payload", (F.col("place") * WIDTH + 1).cast("int"), (F.col("n_tokens") * WIDTH).cast("int")).alias("payload"))
 
 
 def _sums(batches):
@@ -308,11 +366,18 @@ def stored_sums(chunks: DataFrame) -> DataFrame:
 
 def round_trip(df: DataFrame, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Write, index, look every key up and read its ids back: ``doc_id, start,
-    n_tokens, ids_crc32`` per row of ``df``."""
+    n_tokens, ids_crc32`` per row of ``df``.  A key that the index does not know,
+    or a place that does not hold what the index says, is an error."""
     chunks = write(df, path, end_id, id_col, text_col)
     index, buckets = build_index(entries(chunks))
-    keys = (df.groupBy(F.col(id_col).cast("long").alias("doc_id")).agg(F.count("*").cast("int").alias("n"))
-            .select("doc_id", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("occurrence")))
-    found = lookup(keys, index, buckets)
-    return (found.join(stored_sums(chunks), ["shard", "chunk", "place"]).where("n_tokens = stored")
+    counts = df.groupBy(F.col(id_col).cast("long").alias("doc_id")).agg(F.count("*").alias("n"))
+    # in two steps: an id on very many rows never makes one long array
+    runs = counts.select("doc_id", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / RUN))).alias("run"))
+    keys = runs.select("doc_id", F.explode(F.sequence(F.col("run") * RUN, F.least(F.col("n"), (F.col("run") + 1) * RUN) - 1)).alias("occurrence"))
+    found = lookup(keys, index, buckets, strict=True)
+    sums = stored_sums(chunks)
+    whole = F.col("stored").isNotNull() & (F.col("n_tokens") == F.col("stored"))
+    return (found.join(sums, ["shard", "chunk", "place"], "left")
+            .withColumn("ids_crc32", F.when(whole, F.col("ids_crc32")).otherwise(
+                F.raise_error(F.concat(F.lit("stored ids are not those of the index: id "), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))))
             .select("doc_id", "start", "n_tokens", "ids_crc32"))

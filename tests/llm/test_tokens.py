@@ -71,3 +71,47 @@ def test_unknown_keys_are_not_found_and_empty_table(spark):
     keys = spark.range(150, 400).selectExpr("id AS doc_id", "0 AS occurrence")
     assert {r.doc_id for r in token_files.lookup(keys, index, buckets).collect()} == set(range(150, 200))
     assert token_files.round_trip(df.limit(0), JSON, 2).count() == 0
+
+
+def test_keyed_read_opens_one_text(spark, monkeypatch):
+    monkeypatch.setattr(token_files, "CHUNK_IDS", 60)
+    rows = [(i, f"text number {i} " * (i % 7)) for i in range(120)] + [(7, "seven again"), (None, "none"), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    chunks = token_files.write(df, JSON, 2)
+    index, buckets = token_files.build_index(token_files.entries(chunks))
+    model = token_files.Encoder(JSON).model
+    asked = spark.createDataFrame([(7, 0), (7, 1), (7, 2), (33, 0), (33, 0), (None, 0), (None, 1), (999, 0)], "doc_id long, occurrence int")
+    for few in (1_000, 0):
+        monkeypatch.setattr(token_files, "FEW_CHUNKS", few)
+        got = [(r.doc_id, r.occurrence, np.frombuffer(bytes(r.payload), "<u2").tolist()) for r in token_files.fetch(asked, chunks, index, buckets).collect()]
+        ids = lambda t: model.encode(t or "", add_special_tokens=False).ids + [2]
+        want = [(7, 0, ids(rows[7][1])), (7, 1, ids("seven again")), (33, 0, ids(rows[33][1])), (33, 0, ids(rows[33][1])),
+                (None, 0, ids("")), (None, 1, ids("none"))]
+        assert sorted(map(str, got)) == sorted(map(str, want))
+
+
+def test_damage_is_an_error(spark):
+    df = spark.createDataFrame([(i, f"text {i}") for i in range(50)], "doc_id long, text string")
+    chunks = token_files.write(df, JSON, 2)
+    index, buckets = token_files.build_index(token_files.entries(chunks))
+    keys = spark.range(60).selectExpr("id AS doc_id", "0 AS occurrence")
+    with pytest.raises(Exception, match="not in the index"):
+        token_files.lookup(keys, index, buckets, strict=True).collect()
+    real = token_files.stored_sums
+    try:
+        token_files.stored_sums = lambda c: real(c).where("place <> 0")
+        with pytest.raises(Exception, match="not those of the index"):
+            token_files.round_trip(df, JSON, 2).collect()
+    finally:
+        token_files.stored_sums = real
+
+
+def test_an_id_on_most_rows(spark):
+    rows = [(None, f"t {i % 17}") for i in range(3000)] + [(4, "x")] * 900 + [(i, "y") for i in range(10, 300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    texts = token_files.entries(token_files.write(df, JSON, 2))
+    keys = [(r.doc_id, r.occurrence) for r in texts.collect()]
+    assert len(set(keys)) == len(rows) and max(k for d, k in keys if d is None) == 2999 and max(k for d, k in keys if d == 4) == 899
+    starts = sorted((r.start, r.n_tokens) for r in texts.collect())
+    assert all(a + n == b for (a, n), (b, _) in zip(starts, starts[1:]))
+    assert token_files.round_trip(df, JSON, 2).count() == len(rows)
