@@ -275,7 +275,8 @@ def _held_against(entries: DataFrame, similarity: int) -> DataFrame:
 
 
 def _open_pairs(every: DataFrame, label: DataFrame, sets: DataFrame, tested: DataFrame, similarity: int) -> DataFrame:
-    """Untested pairs that share a signature, lie in different groups and may link.
+    """Untested pairs that share a signature, lie in different groups and may
+    link.  ``every``: ``sig, set_key``; ``sets``: ``set_key, size, sketch``.
 
     First the groups themselves are held against each other, one entry per
     signature and group however many sets it has; only groups that their common
@@ -288,14 +289,14 @@ def _open_pairs(every: DataFrame, label: DataFrame, sets: DataFrame, tested: Dat
              .where("l <> h and c > 2").select("sig"))
     bits = [F.get("sketch", i) for i in range(SKETCH_WORDS)]
     facts = saved(sets.join(held.select("set_key", "label").distinct(), "set_key").groupBy("label").agg(
-        F.count("*").alias("n"), F.max(F.size("shingles")).cast("long").alias("size"),
+        F.count("*").alias("n"), F.max("size").alias("size"),
         F.array(*[F.bit_and(b) for b in bits]).alias("every"), F.array(*[F.bit_or(b) for b in bits]).alias("some")), "facts")
     groups = (held.join(mixed, "sig").groupBy("sig", "label").agg(F.min("set_key").alias("node"))
               .join(facts, "label").withColumn("key", F.col("label")))
     found = saved(_held_against(groups, similarity), "undecided")
     pairs = found.where("sig is null").select("a", "b")
     wide = found.where("sig is not null").select("sig", F.explode(F.array("a", "b")).alias("label")).distinct()
-    own = sets.select("set_key", F.size("shingles").cast("long").alias("size"), F.col("sketch").alias("every"), F.col("sketch").alias("some"))
+    own = sets.select("set_key", "size", F.col("sketch").alias("every"), F.col("sketch").alias("some"))
     single = (held.join(wide, ["sig", "label"]).join(own, "set_key")
               .select("sig", F.col("set_key").alias("key"), "label", F.col("set_key").alias("node"), F.lit(1).cast("long").alias("n"),
                       "size", "every", "some"))
@@ -338,7 +339,7 @@ def near_duplicates(df: DataFrame, n: int = 5, similarity: int = 80, n2: int = 3
                    .distinct(), "pairs")
     links = _verified(tested, sets, similarity)
     label = connected_components(links, "a", "b")
-    rest = _open_pairs(members, label, sets, tested, similarity)
+    rest = _open_pairs(members, label, sets.withColumn("size", F.size("shingles").cast("long")), tested, similarity)
     if not rest.isEmpty():
         links = links.union(_verified(rest, sets, similarity))
         label = connected_components(links, "a", "b")
