@@ -193,6 +193,12 @@ def check_domains(df: DataFrame, varchar: Mapping[str, int] | None = None,
     return df.agg(*aggs).select(F.inline(rows))
 
 
+def with_limits(marked: DataFrame, varchar: Mapping[str, int]) -> DataFrame:
+    """J9 on staged records: a value longer than its column joins ``reject_reason``."""
+    long = [F.when(F.length(c) > n, F.lit(f"{c} longer than {n}")) for c, n in varchar.items()]
+    return marked.withColumn("reject_reason", F.concat_ws("; ", F.when(F.col("reject_reason") != "", F.col("reject_reason")), *long))
+
+
 def domain_report_by_date(df: DataFrame, varchar: Mapping[str, int], numeric: Mapping[str, tuple[int, int]] | None = None) -> DataFrame:
     """J9 per ``dt``: ``dt, name, actual`` for every limit that a date breaks; one aggregate."""
     rules = [(f"{c}:varchar({n})", F.length(c) > n) for c, n in varchar.items()]

@@ -25,7 +25,7 @@ from souk import schemas as S
 from souk.functions.dates import in_dates
 from souk.operators import activity, anomaly, metrics, quality, star
 from souk.operators.sinks import one_per_key, sequential_id
-from souk.operators.store import CommitConflict, Store, Transaction
+from souk.operators.store import KEEP_SECONDS, CommitConflict, Store, Transaction
 from souk.session import shared_dir
 from souk.sources import landing
 
@@ -63,11 +63,9 @@ TABLE_SCHEMAS = {
     ("analytics", "alerts"): ALERTS,
 }
 # Keyed tables: hash buckets, upserted.
-KEYED_SCHEMAS = {
-    ("staging", "sellers"): (S.SELLERS, ["seller_id"]), ("staging", "products"): (S.PRODUCTS, ["product_id"]),
-    ("dwh", "dim_seller"): (S.SELLERS, ["seller_id"]), ("dwh", "dim_product"): (S.PRODUCTS, ["product_id"]),
-    ("dwh", "dim_customer"): (S.CUSTOMERS, ["customer_id"]), ("dwh", "dim_date"): (S.DIM_DATE, ["dt"]),
-}
+KEYED_SCHEMAS = {(layer, table): (schema, S.PRIMARY_KEYS[table]) for layer, table, schema in (
+    ("staging", "sellers", S.SELLERS), ("staging", "products", S.PRODUCTS), ("dwh", "dim_seller", S.SELLERS),
+    ("dwh", "dim_product", S.PRODUCTS), ("dwh", "dim_customer", S.CUSTOMERS), ("dwh", "dim_date", S.DIM_DATE))}
 ORDERS, KEYS, FACT, ANOMALIES = "staging/orders", "staging/order_keys", "dwh/fact_orders", "analytics/anomalies"
 
 
@@ -200,12 +198,13 @@ def _repaired(tx: Transaction, marked: DataFrame, days: list[str]) -> tuple[Data
 
 
 def _stage_dimension(tx: Transaction, wh: Warehouse, entity: str, ds: str, layout) -> None:
-    """Upsert the entity's snapshot as of ``ds`` into staging."""
+    """Upsert the entity's snapshot as of ``ds`` into staging; rows with a value
+    beyond its column's length are rejects (J9)."""
     spark, name = tx.spark, f"staging/{entity}"
     schema, keys = KEYED_SCHEMAS[("staging", entity)]
     taken = landing.latest_snapshot_date(spark, wh.raw(), entity, ds, layout)
     raw = landing.read_snapshot_raw(spark, wh.raw(), entity, ds, as_text=True, layout=layout)
-    marked = landing.marked_rows(raw, entity)
+    marked = quality.with_limits(landing.marked_rows(raw, entity), S.VARCHAR_LIMITS[entity])
     rows = marked.where("reject_reason = ''").select(*schema.fieldNames()).where(F.col(keys[0]).isNotNull())
     if taken is None:
         return
@@ -397,7 +396,7 @@ def backfill(spark: SparkSession, wh: Warehouse, dates, strict: bool = False) ->
     they raise.  Loaded dates whose results depend on the new ones (anomalies
     of the 7 days after, activity of all later days) are computed again, so
     the tables do not depend on the order in which dates arrive.  At the end
-    tables of many small runs are merged.
+    tables of many small runs are merged and old files deleted.
     """
     dates = sorted({str(d) for d in dates})
     got = ingest(spark, wh, ds=dates[0]) if strict and len(dates) == 1 else ingest(spark, wh, dates=dates)
@@ -418,10 +417,18 @@ def backfill(spark: SparkSession, wh: Warehouse, dates, strict: bool = False) ->
         out["anomalies"] = detect(spark, wh, dates=days)
         if near:
             detect(spark, wh, dates=near)
-    wh.store(spark).compact()
+    maintain(spark, wh)
     return out
 
 
+def maintain(spark: SparkSession, wh: Warehouse, keep_seconds: float = KEEP_SECONDS) -> None:
+    """Merge tables of many small runs; delete runs and log files that nothing
+    refers to and no reader of the last ``keep_seconds`` can still hold."""
+    store = wh.store(spark)
+    store.compact()
+    store.vacuum(keep_seconds)
+
+
 def table_summary(spark: SparkSession, wh: Warehouse) -> DataFrame:
     """(table, n_rows, revenue) for the partitioned tables of a warehouse."""
     parts = []

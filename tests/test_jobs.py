@@ -13,7 +13,8 @@ from souk.operators.store import Store
 from souk.plans import dashboard, pipeline
 from souk.session import shared_dir
 from souk.sources import landing
-from souk.streaming.stream import touched_dates
+from souk.streaming import stream
+from souk.streaming.stream import run_incremental, touched_dates
 from test_warehouse import ROWS, day, orders, tables, warehouse
 
 
@@ -165,3 +166,21 @@ def test_a_job_meeting_another_writer_runs_again(spark):
     pipeline.in_commit(spark, wh, job)
     assert len(runs) == 2 and wh.store(spark).begin().prop(pipeline.ORDERS, "seen") == 2
     assert len(tables(spark, wh)) == 6
+
+
+def test_late_files_of_any_entity_refresh_their_dates(spark):
+    wh = warehouse(spark, orders(spark, ROWS))
+    checkpoint = f"{wh.root}/_checkpoints/landed"
+    assert run_incremental(spark, wh, checkpoint) == 1
+    assert {r.seller_name for r in pipeline.read_table(spark, wh, "analytics", "top_sellers").collect()} == {"uno", "two"}
+    landing.land(spark.createDataFrame([("s1", "late", "FR", None), ("s2", "x" * 201, "DE", None)], S.SELLERS), wh.raw(), "sellers", ds=day(3))
+    assert run_incremental(spark, wh, checkpoint) == 1
+    names = {(str(r.dt), r.seller_name) for r in pipeline.read_table(spark, wh, "analytics", "top_sellers").collect()}
+    assert names == {(str(day(0)), "uno"), (str(day(1)), "uno"), (str(day(3)), "late"), (str(day(4)), "two")}
+    rejects = pipeline.read_table(spark, wh, "staging", "rejects_sellers").collect()
+    assert [(str(r.dt), r.reject_reason) for r in rejects] == [(str(day(3)), "name longer than 200")]
+    before = wh.store(spark).state()["seq"]
+    assert run_incremental(spark, wh, checkpoint) == 0 and wh.store(spark).state()["seq"] == before
+    want = tables(spark, wh)
+    stream.process_batch(spark, wh, spark.createDataFrame([("sellers", day(3))], "entity string, dt date"))       # a replayed batch
+    assert tables(spark, wh) == want
