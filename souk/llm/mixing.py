@@ -176,7 +176,9 @@ def draws(rows: DataFrame, cat: Catalogue, max_repeat: int = 3, seed: int = 17)
 
 def taken(df: DataFrame, weights: tuple[float, ...] = (5, 2, 1), max_repeat: int = 3, seed: int = 17,
           block_words: int = BLOCK_WORDS) -> DataFrame:
-    """Per input row: ``doc_id, size, source_size, target, taken, copies``.
+    """Per input row: ``doc_id, size, source_size, target, taken, copies, shard,
+    slot``: the words and copies that the mix takes, and where the tree and the
+    local shuffle put the first copy (null if none).
 
     Needs ``doc_id, source, text``; other columns are ignored.  A null text has
     size 0; a null source is a source of its own, last in order; rows without
@@ -185,10 +187,11 @@ def taken(df: DataFrame, weights: tuple[float, ...] = (5, 2, 1), max_repeat: int
     """
     rows, cat = placed(df, weights, max_repeat, seed, block_words)
     got = (draws(rows, cat, max_repeat, seed).groupBy(*ROW)
-           .agg(F.sum("words").alias("got"), F.count("*").alias("copies")))
+           .agg(F.sum("words").alias("got"), F.count("*").alias("copies"), F.min(F.struct("copy", "shard", "slot")).alias("first")))
     return (rows.join(got, ROW, "left")
             .select("doc_id", "size", "source_size", "target", F.coalesce("got", F.lit(0)).cast("long").alias("taken"),
-                    F.coalesce("copies", F.lit(0)).cast("long").alias("copies")))
+                    F.coalesce("copies", F.lit(0)).cast("long").alias("copies"),
+                    F.col("first.shard").alias("shard"), F.col("first.slot").alias("slot")))
 
 
 def mixed(df: DataFrame, weights: tuple[float, ...] = (5, 2, 1), max_repeat: int = 3, seed: int = 17) -> DataFrame:

@@ -71,6 +71,16 @@ def test_draws_fill_shards_without_gaps(spark, monkeypatch):
     for r in got:
         slots.setdefault(r.shard, []).append(r.slot)
     assert len(slots) > 3 and all(sorted(v) == list(range(len(v))) for v in slots.values())
+    for shard in slots:                                        # a shard holds the blocks that its leaf of the tree drew
+        count, begin = mixing.leaf(cat.quotas, cat.shards, shard, 17)
+        drawn = {(k, int(b)) for k in np.flatnonzero(count)
+                 for b in mixing.permuted(np.arange(begin[k], begin[k] + count[k]), int(cat.quotas[k]), 17 * 1_000_003 + int(k))}
+        mine = {(r.source_no, r.block) for r in got if r.shard == shard}
+        assert mine <= drawn                                   # a block in which no copy begins has no row
+    first = {(r.doc_id, r.source): (r.shard, r.slot) for r in sorted(got, key=lambda r: -r.copy)}
+    out = mixing.taken(docs(spark, rows), block_words=40).collect()
+    assert {(r.doc_id,): (r.shard, r.slot) for r in out if r.copies} == {k[:1]: v for k, v in first.items()}
+    assert all(r.shard is None for r in out if not r.copies)
 
 
 def test_mixed_keeps_columns_and_empty_table(spark):
