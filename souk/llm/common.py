@@ -32,8 +32,17 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps now: its cleaner does
+    so when the driver's garbage collector has met their plans, which on a driver
+    with little to do is long after the disk is full."""
+    spark._jvm.java.lang.System.gc()
+
+
 def drop_saved(spark: SparkSession, *frames: DataFrame) -> None:
-    """Delete tables made by :func:`saved` that nothing reads any more."""
+    """Delete tables made by :func:`saved` that nothing reads any more, and the
+    shuffle files behind them."""
+    release(spark)
     conf = spark._jsc.hadoopConfiguration()
     for df in frames:
         folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}

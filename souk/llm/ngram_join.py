@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from souk.llm.common import drop_saved, mix64, saved, shingle_hashes, word_hashes
+from souk.llm.common import drop_saved, mix64, release, saved, shingle_hashes, word_hashes
 from souk.llm.components import connected_components
 
 BAND_RATIO = 1.5        # upper over lower end of a size band
@@ -325,11 +325,13 @@ def near_duplicates(df: DataFrame, n: int = 5, similarity: int = 80, n2: int = 3
     sigs = with_id.mapInPandas(_signature_rows(n, similarity, n2, k2), row)
     shared = saved(sigs.groupBy("sig").agg(F.min("set_key").alias("low"), F.max("set_key").alias("high"))
                    .where("low <> high").select("sig", "low"), "shared")
+    release(spark)                       # every signature went through this shuffle
     bitmap = spark.sparkContext.broadcast(_bitmap(shared))
     again = with_id.mapInPandas(_signature_rows(n, similarity, n2, k2, bitmap), row)
     members = saved(again.join(shared, "sig").select("sig", "low", "set_key"), "members")     # copies met by two tasks stay
     drop_saved(spark, shared)
     keys = members.select("set_key").distinct()
+    release(spark)
     wanted = saved(nodes.join(keys, "set_key").select("set_key", F.col("rep").alias("doc_id")), "wanted")
     few = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
     sets = saved(docs.join(few, "doc_id").select("set_key", "text").mapInPandas(
@@ -338,6 +340,7 @@ def near_duplicates(df: DataFrame, n: int = 5, similarity: int = 80, n2: int = 3
     tested = saved(members.where("set_key <> low").select(F.col("low").alias("a"), F.col("set_key").alias("b"))
                    .distinct(), "pairs")
     links = _verified(tested, sets, similarity)
+    release(spark)
     label = connected_components(links, "a", "b")
     rest = _open_pairs(members, label, sets.withColumn("size", F.size("shingles").cast("long")), tested, similarity)
     if not rest.isEmpty():
