@@ -33,7 +33,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from souk.llm.common import drop_saved, mix64, release, saved, shingle_hashes, word_hashes
@@ -321,15 +321,20 @@ def near_duplicates(df: DataFrame, n: int = 5, similarity: int = 80, n2: int = 3
     nodes = (narrow.where("set_key is not null and doc_id is not null")
              .groupBy("set_key").agg(F.min("doc_id").alias("rep")))
 
+    # one document per set is enough; where the ids may be broadcast, copies are left out from the start
     with_id, row = docs.where("doc_id is not null"), "sig long, set_key long"
-    sigs = with_id.mapInPandas(_signature_rows(n, similarity, n2, k2), row)
-    shared = saved(sigs.groupBy("sig").agg(F.min("set_key").alias("low"), F.max("set_key").alias("high"))
-                   .where("low <> high").select("sig", "low"), "shared")
+    reps = nodes.select(F.col("rep").alias("doc_id"))
+    if reps.count() <= BROADCAST_IDS:
+        with_id = with_id.join(F.broadcast(reps), "doc_id", "left_semi")
+    # signatures that stand twice: all shared ones, and those of copies met by two tasks
+    sigs = with_id.mapInPandas(_signature_rows(n, similarity, n2, k2), row).select("sig")
+    twice = sigs.groupBy("sig").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("sig")
+    bitmap = spark.sparkContext.broadcast(_bitmap(twice))
     release(spark)                       # every signature went through this shuffle
-    bitmap = spark.sparkContext.broadcast(_bitmap(shared))
     again = with_id.mapInPandas(_signature_rows(n, similarity, n2, k2, bitmap), row)
-    members = saved(again.join(shared, "sig").select("sig", "low", "set_key"), "members")     # copies met by two tasks stay
-    drop_saved(spark, shared)
+    of_sig = Window.partitionBy("sig")
+    members = saved(again.withColumns({"low": F.min("set_key").over(of_sig), "high": F.max("set_key").over(of_sig)})
+                    .where("low <> high").select("sig", "low", "set_key"), "members")     # copies met by two tasks stay
     keys = members.select("set_key").distinct()
     release(spark)
     wanted = saved(nodes.join(keys, "set_key").select("set_key", F.col("rep").alias("doc_id")), "wanted")
