@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from souk.llm.common import drop_saved, mix64, release, saved, shingle_hashes, word_hashes
+from souk.llm.common import drop_saved, mix64, release, saved, shingle_hashes, small_batches, word_hashes
 from souk.llm.components import connected_components
 
 BAND_RATIO = 1.5        # upper over lower end of a size band
@@ -315,6 +315,11 @@ def near_duplicates(df: DataFrame, n: int = 5, similarity: int = 80, n2: int = 3
     id.  Rows with equal texts link.  A row without an id is counted but links
     with nothing (its ``component_id`` is null).  Other columns are ignored.
     """
+    with small_batches(df.sparkSession):       # all Python work is done when the result is returned
+        return _near_duplicates(df, n, similarity, n2, k2, id_col, text_col)
+
+
+def _near_duplicates(df: DataFrame, n: int, similarity: int, n2: int, k2: int, id_col: str, text_col: str) -> DataFrame:
     spark = df.sparkSession
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     narrow = saved(docs.mapInPandas(_keys(n), "doc_id long, n_shingles long, set_key long"), "setkeys")
