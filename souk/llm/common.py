@@ -7,8 +7,6 @@ bytes outside ``\\x20 \\x09-\\x0D``; a 64-bit hash stands for a word.
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,19 +32,6 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-@contextmanager
-def small_batches(spark: SparkSession, rows: int = 2_000):
-    """Hand texts to Python in batches of at most ``rows``: a worker holds a batch several times over."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    most = int(before)
-    spark.conf.set(key, str(min(most, rows) if most > 0 else rows))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished steps now: its cleaner does
     so when the driver's garbage collector has met their plans, which on a driver
