@@ -73,10 +73,10 @@ def _layout(df: DataFrame, part: str, spread: list[str] | None, n_values: int |
 
 
 def write_partitions(df: DataFrame, path: str, part: str = "dt", spread: list[str] | None = None,
-                     fmt: str = "parquet", n_values: int | None = None) -> None:
+                     fmt: str = "parquet", n_values: int | None = None, options: dict | None = None) -> None:
     """Replace exactly the ``part`` values present in ``df`` (dynamic overwrite)."""
     (_layout(df, part, spread, n_values).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "dynamic").options(**(options or {}))
         .partitionBy(part).format(fmt).save(path))
 
 

@@ -1,7 +1,9 @@
 """Raw landing zone.
 
-Layout: ``{base}/{entity}/folder_dt=YYYY-MM-DD/part-*.json`` with one JSON
-record per line (splittable); a source that lands one array per file under
+Layout: ``{base}/{entity}/folder_dt=YYYY-MM-DD/part-*.json.gz`` with one JSON
+record per line; JSON repeats its field names in every record, so the files are
+gzipped, and hold a bounded number of records, as such a file is read by one
+task.  Plain ``.json`` files are read too; a source that lands one array per file under
 ``dt=`` is read with ``Layout(multiline=True, folder="dt")``.  Orders are a
 daily partition; sellers and products are full daily snapshots, read from the
 latest folder up to ds, which is found by listing folders.
@@ -25,6 +27,7 @@ from souk import schemas as S
 from souk.functions.dates import in_dates
 from souk.operators.sinks import list_partitions, write_partitions
 
+RECORDS_PER_FILE = 1_000_000    # of a landed file; a date has as many files as it needs
 ENTITY_SCHEMAS = {"orders": S.ORDERS, "sellers": S.SELLERS, "products": S.PRODUCTS}
 
 
@@ -45,7 +48,8 @@ def land(df: DataFrame, base: str, entity: str, ds=None, spread: list[str] | Non
     if "folder_dt" not in rows.columns:
         folder = F.lit(str(ds)).cast("date") if ds is not None else F.col("dt")
         rows = rows.withColumn("folder_dt", folder)
-    write_partitions(rows, f"{base}/{entity}", part="folder_dt", spread=spread, fmt="json", n_values=n_dates)
+    write_partitions(rows, f"{base}/{entity}", part="folder_dt", spread=spread, fmt="json", n_values=n_dates,
+                     options={"compression": "gzip", "maxRecordsPerFile": str(RECORDS_PER_FILE)})
 
 
 class Layout(NamedTuple):

@@ -1,6 +1,7 @@
 """Writes: partition replace (incl. empty), upsert, insert-absent, ids, landing zone."""
 
 import datetime as dt
+import gzip
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -92,3 +93,15 @@ def test_sequential_id_descending_order(spark):
     got = sorted((r["rank_no"], -r["v"], r["k"]) for r in out)
     assert [g[0] for g in got] == list(range(1, 3001))
     assert [g[1:] for g in got] == sorted(g[1:] for g in got)
+
+
+def test_landed_json_is_compressed_and_in_bounded_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(landing, "RECORDS_PER_FILE", 40)
+    day = dt.date(2024, 3, 1)
+    rows = [(f"o{k}", "s1", "c1", "p1", day, 1, Decimal("2.50"), "completed") for k in range(300)]
+    base = str(tmp_path / "raw")
+    landing.land(spark.createDataFrame(rows, S.ORDERS).coalesce(1), base, "orders", spread=["order_id"], n_dates=1)
+    files = list((tmp_path / "raw" / "orders" / f"folder_dt={day}").glob("part-*"))
+    assert files and all(f.name.endswith(".json.gz") for f in files)
+    assert all(len(gzip.open(f).read().splitlines()) <= 40 for f in files)
+    assert sorted(map(tuple, landing.read_raw(spark, base, "orders").select(*S.ORDER_COLUMNS).collect())) == sorted(rows)
