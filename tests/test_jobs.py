@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from souk import schemas as S
 from souk.operators import activity, metrics, quality
-from souk.operators.store import Store
+from souk.operators.store import Store, Transaction
 from souk.plans import dashboard, pipeline
 from souk.session import shared_dir
 from souk.sources import landing
@@ -184,3 +184,47 @@ def test_late_files_of_any_entity_refresh_their_dates(spark):
     want = tables(spark, wh)
     stream.process_batch(spark, wh, spark.createDataFrame([("sellers", day(3))], "entity string, dt date"))       # a replayed batch
     assert tables(spark, wh) == want
+
+
+GATED = [("a", "s1", "c1", 0, "1", "completed"), ("a", "s1", "c1", 0, "1", "completed"), ("a", "s9", "c1", 1, "1", "completed"),
+         (None, "s1", "c1", 1, "1", "completed"), (None, None, "c1", 1, "-1", "lost"), ("b", "s2", "c1", 2, "1", "completed"),
+         ("e", "s2", "c1", 2, "1", "completed"), ("e", "s8", "c1", 2, "0", None), ("b", "s1", "c1", 3, "1", "completed"), ("d", "s1", "c1", 4, "1", "completed")]
+
+
+def test_report_by_date_is_the_report_of_each_date(spark):
+    frame, sellers = orders(spark, GATED), spark.createDataFrame([("s1",), ("s2",), (None,)], "seller_id string")
+    got = {(str(r.dt), r.name): r.actual for r in quality.order_rule_report_by_date(frame, sellers).collect()}
+    want = {(str(day(k)), r.name): r.actual for k in range(5) for r in quality.order_rule_report(frame, sellers, day(k)).collect()}
+    assert got == want
+    assert quality.unknown_keys(frame, {"seller_id": (sellers, "seller_id")}).count() == 2
+    assert quality.unknown_keys(frame.where("seller_id < 's3'"), {"seller_id": (sellers, "seller_id")}) is None
+
+
+def test_repeated_ids_are_those_of_brute_force(spark):
+    wh = warehouse(spark, orders(spark, [("d", "s1", "c1", 9, "1", "completed"), ("x", "s1", "c1", 9, "1", "completed")]))
+    pipeline.ingest(spark, wh, ds=day(9))
+    frame = orders(spark, GATED)
+    got = pipeline._repeated_ids(wh.store(spark).begin(), frame, [str(day(k)) for k in range(5)])
+    assert {(str(r.dt), r.order_id, r.n, r.old, str(r.first)) for r in got.collect()} == {
+        (str(day(0)), "a", 2, False, str(day(0))), (str(day(1)), "a", 1, False, str(day(0))), (str(day(2)), "b", 1, False, str(day(2))),
+        (str(day(3)), "b", 1, False, str(day(2))), (str(day(2)), "e", 2, False, str(day(2))), (str(day(4)), "d", 1, True, str(day(4)))}
+    assert {str(r.dt): r.actual for r in pipeline._reused_ids(got).collect()} == {str(day(k)): 1 for k in (1, 3, 4)}
+
+
+def test_a_run_keeps_the_text_of_rejects_only_and_copies_files_as_they_lie(spark, monkeypatch):
+    wh = warehouse(spark, orders(spark, ROWS))
+    with open(f"{wh.raw().removeprefix('file:')}/orders/folder_dt={day(0)}/part-bad.json", "w") as f:
+        f.write("not json")
+    clustered, write = {}, Transaction._write
+
+    def watched(self, name, df, part, sort, *args):
+        clustered[name] = bool(args and args[0])
+        return write(self, name, df, part, sort, *args)
+    monkeypatch.setattr(Transaction, "_write", watched)
+    out = pipeline.ingest(spark, wh, dates=[day(k) for k in range(5)])
+    pipeline.build_star(spark, wh, dates=[day(k) for k in range(5)])
+    texts = spark.read.parquet(out["run"]).groupBy("rejected").agg(F.count("raw").alias("n")).collect()
+    assert {r.rejected: r.n for r in texts} == {False: 0, True: 1}
+    assert clustered["staging/orders"] and clustered["dwh/fact_orders"] and not clustered["staging/order_keys"]
+    fact = pipeline.read_table(spark, wh, "dwh", "fact_orders", dates=[day(3)])
+    assert sorted(r.order_id for r in fact.collect()) == ["a3", "a4"]
