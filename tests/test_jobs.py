@@ -228,3 +228,18 @@ def test_a_run_keeps_the_text_of_rejects_only_and_copies_files_as_they_lie(spark
     assert clustered["staging/orders"] and clustered["dwh/fact_orders"] and not clustered["staging/order_keys"]
     fact = pipeline.read_table(spark, wh, "dwh", "fact_orders", dates=[day(3)])
     assert sorted(r.order_id for r in fact.collect()) == ["a3", "a4"]
+
+
+def test_activity_of_new_dates_holds_nothing_against_the_state(spark, monkeypatch):
+    stored, keep = [], activity._stored
+    monkeypatch.setattr(activity, "_stored", lambda df, name: stored.append(name) or keep(df, name))
+    store = Store(spark, shared_dir(spark, "wh"))
+    for days, again in (([0, 3], False), ([5], False), ([3, 5], True)):
+        del stored[:]
+        tx = store.begin()
+        activity.update(tx, orders(spark, [(f"{k}", "s1", f"c{k % 2}", k, "1", "completed") for k in days]), [str(day(k)) for k in days])
+        tx.commit()
+        assert ("activity-changed" in stored) == again
+    every = orders(spark, [(f"{k}", "s1", f"c{k % 2}", k, "1", "completed") for k in (0, 3, 5)])
+    got = store.begin().read(activity.ACTIVITY, S.CUSTOMER_ACTIVITY, None, "dt").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, metrics.customer_activity_all(every).collect()))
