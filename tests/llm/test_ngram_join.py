@@ -1,6 +1,7 @@
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from souk.llm import ngram_join
@@ -78,6 +79,66 @@ def test_linking_pairs_share_a_signature():
                     assert len(np.intersect1d(sa, sb))
 
 
+def test_slices_part_the_signatures_and_change_nothing(spark):
+    rng = np.random.default_rng(9)
+    for size in (3, 30, 400):
+        s = np.unique(rng.integers(0, 1 << 63, size=size, dtype=np.uint64))
+        parts = [ngram_join.signatures(s, 80, 3, 1, i, 2) for i in range(2)]
+        assert sorted(np.concatenate(parts)) == sorted(ngram_join.signatures(s, 80, 3, 1))
+    base = [f"w{i}" for i in range(150)]
+    rows = [(d, edited(rng, base, int(rng.integers(0, 5)))) for d in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((tuple(r) for r in ngram_join.near_duplicates(df, 5, 80, slices=2).collect()), key=str)
+    assert got == brute(rows, 5, 80)
+
+
+def test_many_edited_copies_equal_brute_force(spark):
+    """Variants of a few texts, many of which link only by way of others."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for _ in range(4):
+        base = [f"w{rng.integers(4000)}" for _ in range(120)]
+        rows += [(len(rows) + i, edited(rng, base, int(rng.integers(0, 6)))) for i in range(120)]
+    assert run(spark, rows, 3, 90) == brute(rows, 3, 90)
+
+
+def block(sketches, sizes=None, **more):
+    n = len(sketches)
+    cols = {"sig": 7, "bi": 0, "bj": 0, "side": 0, "key": range(n), "label": range(n), "size": sizes or [100] * n}
+    return pd.DataFrame({k: [v] * n if isinstance(v, int) else list(v) for k, v in (cols | more).items()})
+
+
+def sketch(*bits):
+    words = np.zeros(ngram_join.SKETCH_WORDS, dtype=np.int64)
+    for b in bits:
+        words[b // 64] |= np.int64(np.uint64(1 << b % 64).astype(np.int64))
+    return words
+
+
+def test_a_block_gives_out_a_forest_and_not_all_pairs():
+    n = 200
+    part = block([sketch(i) for i in range(n)], sketch=[sketch(i) for i in range(n)], refuted=[None] * n)
+    once = pd.concat(ngram_join._forests(90, 1)(iter([part])))
+    assert len(once) == n - 1                            # and not n * (n - 1) / 2
+    root = list(range(n))
+    for a, b in zip(once["a"], once["b"]):               # the pairs join all groups
+        old, new = root[a], root[b]
+        root = [new if r == old else r for r in root]
+    assert len(set(root)) == 1
+    refuted = [np.array(sorted(once["a"][once["b"] == i]), dtype=np.int64) for i in range(n)]
+    again = pd.concat(ngram_join._forests(90, 8)(iter([part.assign(refuted=refuted)])))
+    pairs = set(zip(again["a"], again["b"]))
+    assert len(pairs) == len(again) <= 8 * (n - 1) and not pairs & set(zip(once["a"], once["b"]))
+
+
+def test_sketches_that_differ_in_the_highest_bit_of_a_word_are_near():
+    """numpy's count of a negative number's bits is that of its absolute value."""
+    a, b = sketch(0, 1), sketch(0, 1, 63, 127, 191)
+    part = block([a, b], every=[a, b], some=[None, None], sketch=[a, b], refuted=[None, None])
+    assert len(pd.concat(ngram_join._undecided(90)(iter([part])))) == 2
+    assert len(pd.concat(ngram_join._forests(90, 1)(iter([part])))) == 1
+
+
 def test_empty_table(spark):
     assert run(spark, [], 3, 90) == []
 
