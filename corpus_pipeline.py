@@ -17,6 +17,7 @@ from souk.llm import decontam, mixing, ngram_join, sharding, toxicity
 from souk.llm.common import drop_saved, held_out, saved
 
 SHARDS = 40
+SIGNATURE_SLICES = 2          # the signatures of the near-copy join are more bytes than the texts: shuffled in halves
 BROADCAST_ROWS = 1_000_000    # row numbers (8 bytes each) that may be broadcast; checked by a count
 ROW = "_pipeline_row"
 
@@ -48,7 +49,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     similarity 0.8): that of the smallest id.  Rows are judged one by one, so of a
     repeated row one stays and an id on two texts loses neither for the other's sake."""
     rows = _numbered(docs)
-    groups = ngram_join.near_duplicates(rows, n=5, similarity=80, id_col=ROW).select(F.col("doc_id").alias(ROW), "component_id")
+    groups = ngram_join.near_duplicates(rows, n=5, similarity=80, id_col=ROW, slices=SIGNATURE_SLICES).select(F.col("doc_id").alias(ROW), "component_id")
     with_id = saved(groups.join(rows.select(ROW, "doc_id"), ROW), "groups")
     first = with_id.groupBy("component_id").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", ROW)).alias("k")).select(F.col(f"k.{ROW}").alias(ROW))
