@@ -16,8 +16,9 @@ place, number of ids) per slot.  A lookup computes one slot, compares one
 fingerprint and reads one location.
 
 Encoding.  No token of the byte-level vocabulary goes over a single space or
-line feed between two non-spaces, so a text is encoded in units cut there, and a
-worker encodes a unit that it remembers only once.
+line feed between two non-spaces, nor from a letter to a sign or back (the
+apostrophe aside), so a text is encoded in units cut there.  Equal units of about
+1 MB of text are found with numpy; a worker encodes a unit that it remembers only once.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from souk.llm.common import mix64, saved
+from souk.llm.common import _PLAIN, SLAB_BYTES, _power_tables, mix64, saved
 
 WIDTH = 2                       # bytes of a stored id; 65,536 ids at most
 CHUNK_IDS = 1 << 20             # ids of a chunk; one text is never split
@@ -48,10 +49,17 @@ LEVELS = 48
 
 _U = np.uint64
 # Units that are put together from words: letters (of the Latin blocks) and signs other than the apostrophe.
-PLAIN = re.compile("(\n?)([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]*)([!-&(-/:-@\\[-`{-~]*)").fullmatch
+PLAIN = re.compile("(\n?)( ?)([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]*)([!-&(-/:-@\\[-`{-~]*)").fullmatch
 # How the byte-level rule writes a byte: printing characters stand for themselves, the others follow from 256 on.
 _PRINTING = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 BYTE_CHARS = {b: 256 + i for i, b in enumerate(x for x in range(256) if x not in _PRINTING)}
+ODD_SPACE = re.compile("[\u0085\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]").search
+SPACE_CHAR, FEED_CHAR = chr(BYTE_CHARS[0x20]), chr(BYTE_CHARS[0x0A])
+_KIND = np.zeros(256, dtype=np.uint8)       # 1: ASCII letter, 2: sign other than the apostrophe; no two others add up to 3
+_KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = 1
+_KIND[[b for b in range(0x21, 0x7F) if not chr(b).isalnum() and b != 0x27]] = 2
+_GAP = np.zeros(256, dtype=bool)
+_GAP[[0x20, *range(0x09, 0x0E), *range(0x1C, 0x20)]] = True
 
 
 class Encoder:
@@ -59,8 +67,10 @@ class Encoder:
 
     A unit goes from one space or line feed between two non-spaces to the next:
     the byte-level rule joins a space to what follows and keeps a lone line
-    feed apart, so nothing goes over these places.  Units are known by what
-    follows the space (or by the line feed and what follows it).
+    feed apart, so nothing goes over these places.  It also parts letters from
+    signs, unless an apostrophe or an added token (as ``</s>``) is among them.  Units are known by their
+    bytes, the space or line feed before them included; equal units of a slab are
+    found with numpy and looked up once.
     """
 
     def __init__(self, path: str):
@@ -74,8 +84,9 @@ class Encoder:
             raise ValueError("not a byte-level tokenizer; its texts can't be cut into units")
         if self.model.get_vocab_size(with_added_tokens=True) > 1 << 8 * WIDTH:
             raise ValueError("the vocabulary does not fit the stored width")
-        self.known: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.merge = self.model.model.tokenize
+        self.known: dict[bytes, bytes] = {}
+        self.added = [a.content for a in self.model.get_added_tokens_decoder().values() if a.content]
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         out = []
@@ -86,14 +97,14 @@ class Encoder:
 
     def _word(self, word: str) -> bytes:
         """Ids of one word of the byte-level rule, by the model's own merge step."""
-        got = self.words.get(word)
-        if got is None:
+        if word.isascii():              # letters or signs, which stand for themselves
+            mapped = word.replace(" ", SPACE_CHAR).replace("\n", FEED_CHAR)
+        else:
             mapped = word.encode("utf-8").decode("latin-1").translate(BYTE_CHARS)
-            got = self.words[word] = array("H", [t.id for t in self.model.model.tokenize(mapped)]).tobytes()
-        return got
+        return array("H", [t.id for t in self.merge(mapped)]).tobytes()
 
-    def _tail_ids(self, names: list[str]) -> list[bytes]:
-        """Ids of units after the first.
+    def _unit_ids(self, names: list[str]) -> list[bytes]:
+        """Ids of units with the space or line feed before them.
 
         Letters are one word together with the space before them, signs after
         them another, and a line feed before them one of its own (the
@@ -103,49 +114,102 @@ class Encoder:
         out, rest = {}, []
         for n in names:
             m = PLAIN(n)
-            if m is None:
+            feed, space, letters, signs = m.groups() if m else ("",) * 4
+            if not letters and not signs:
                 rest.append(n)
                 continue
-            feed, letters, signs = m.groups()
-            first = letters or signs
-            ids = self._word("\n") + self._word(first) if feed else self._word(" " + first)
+            ids = self._word(space + (letters or signs))
+            if feed:
+                ids = self._word("\n") + ids
             out[n] = ids + self._word(signs) if letters and signs else ids
-        out.update(zip(rest, self._ids([n if n[:1] == "\n" else " " + n for n in rest])))
+        out.update(zip(rest, self._ids(rest)))
         return [out[n] for n in names]
 
-    @staticmethod
-    def units(text: str) -> list[str]:
-        """The text cut at safe places; all but the first without their space."""
-        parts = text.replace("\n", " \n").split(" ")
-        flat = text.replace("\n", " ")
-        if flat == " ".join(flat.split()):
-            return parts
-        out = [parts[0]]
-        for p in parts[1:]:
-            before = out[-1]
-            bare = p[1:] if p[:1] == "\n" else p
-            if before and not before[-1].isspace() and bare and not bare[0].isspace():
-                out.append(p)
-            else:                       # not a safe place: put back what stood there
-                out[-1] = before + (p if p[:1] == "\n" else " " + p)
-        return out
+    def _known_ids(self, units: list[bytes]) -> list[bytes]:
+        """Ids of units, of those met before from memory."""
+        if len(self.known) > CACHE_UNITS:
+            self.known.clear()
+        got = list(map(self.known.get, units))
+        fresh = [u for u, ids in zip(units, got) if ids is None]
+        if not fresh:
+            return got
+        self.known.update(zip(fresh, self._unit_ids([u.decode("utf-8") for u in fresh])))
+        return [self.known[u] if ids is None else ids for u, ids in zip(units, got)]
 
     def encode(self, texts: list[str], end_id: int) -> list[bytes]:
         """Little-endian ids of every text and ``end_id``."""
-        if len(self.known) > CACHE_UNITS:
-            self.known.clear()
-            self.words.clear()
-        get, units, got = self.known.get, [], []
-        for t in texts:
-            head, *tail = self.units(t)
-            units.append((head, tail))
-            got.append(list(map(get, tail)))
-        fresh = list({u for (_, tail), ids in zip(units, got) for u, i in zip(tail, ids) if i is None})
-        self.known.update(zip(fresh, self._tail_ids(fresh)))
-        heads = self._ids([head for head, _ in units])
+        raw = [t.encode("utf-8") for t in texts]
+        buf, ends = np.frombuffer(b"".join(raw), dtype=np.uint8), np.cumsum([len(r) for r in raw], dtype=np.int64)
+        if not len(buf):
+            return [np.array([end_id], dtype="<u2").tobytes()] * len(texts)
+        starts = _unit_starts(buf, ends, [bool(ODD_SPACE(t)) for t in texts], [any(a in t for a in self.added) for t in texts])
+        ids, counts = [], []
+        edge = np.append(starts, len(buf))
+        i = 0
+        while i < len(starts):
+            j = max(int(np.searchsorted(edge, edge[i] + SLAB_BYTES, side="right")) - 1, i + 1)
+            first, code = _distinct(buf[edge[i]:edge[j]], edge[i:j + 1] - edge[i])
+            some = buf[edge[i]:edge[j]].tobytes()
+            at = (edge[i:j + 1] - edge[i]).tolist()
+            known = self._known_ids([some[at[k]:at[k + 1]] for k in first.tolist()])
+            size = np.array([len(k) // WIDTH for k in known], dtype=np.int64)
+            begin, n = (np.cumsum(size) - size)[code], size[code]
+            place = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            ids.append(np.frombuffer(b"".join(known), dtype="<u2")[place])
+            counts.append(n)
+            i = j
+        all_ids = np.concatenate(ids).tobytes()
+        total = np.concatenate(([0], np.cumsum(np.concatenate(counts)))) * WIDTH
+        cut = np.concatenate(([0], total[np.searchsorted(starts, ends)])).tolist()
         end = np.array([end_id], dtype="<u2").tobytes()
-        return [h + b"".join([i if i is not None else get(u) for u, i in zip(tail, ids)]) + end
-                for h, (_, tail), ids in zip(heads, units, got)]
+        return [all_ids[x:y] + end for x, y in zip(cut[:-1], cut[1:])]
+
+
+def _unit_starts(buf: np.ndarray, ends: np.ndarray, odd: list[bool], special: list[bool]) -> np.ndarray:
+    """Places in the texts' UTF-8 bytes at which units begin: the texts' own
+    beginnings, each single space or line feed between two non-spaces, and places
+    between an ASCII letter and an ASCII sign other than the apostrophe.  In texts
+    with spaces outside ASCII (``odd``) the first count only between ASCII
+    characters, in those with added tokens (``special``) the last do not count."""
+    gap = _GAP[buf]
+    cut = (buf == 0x20) | (buf == 0x0A)
+    cut[1:] &= ~gap[:-1]
+    cut[:-1] &= ~gap[1:]
+    size = np.diff(ends, prepend=0)
+    if any(odd):
+        wide = buf >= 0x80
+        near = np.zeros(len(buf), dtype=bool)
+        near[1:] = wide[:-1]
+        near[:-1] |= wide[1:]
+        cut &= ~(near & np.repeat(odd, size))
+    full = size > 0
+    cut[ends[full] - 1] = False
+    kind = _KIND[buf]
+    word = np.zeros(len(buf), dtype=bool)
+    word[1:] = kind[1:] + kind[:-1] == 3                # a letter (1) and a sign (2)
+    cut |= word & ~np.repeat(special, size) if any(special) else word
+    cut[(ends - size)[full]] = True
+    return np.flatnonzero(cut)
+
+
+def _distinct(buf: np.ndarray, edge: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of units one after another: places of the distinct ones, and which of them
+    each is.  Hashes find equal units, their bytes are compared."""
+    size = np.diff(edge)
+    if len(size) == 1:
+        return np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64)
+    up, down = _power_tables(len(buf) + 1)
+    total = np.zeros(len(buf) + 1, dtype=_U)
+    np.cumsum(_PLAIN[buf] * up[:len(buf)], out=total[1:])
+    code, names = pd.factorize((total[edge[1:]] - total[edge[:-1]]) * down[edge[:-1]])
+    first = np.empty(len(names), dtype=np.int64)
+    first[code[::-1]] = np.arange(len(code))[::-1]
+    same = first[code]
+    if (size == size[same]).all() and (buf[np.repeat(edge[same] - edge[:-1], size) + np.arange(len(buf))] == buf).all():
+        return first, code
+    text, at, known = buf.tobytes(), edge.tolist(), {}             # two units of one hash
+    code = np.array([known.setdefault(text[x:y], len(known)) for x, y in zip(at[:-1], at[1:])], dtype=np.int64)
+    return np.unique(code, return_index=True)[1], code
 
 
 @lru_cache(maxsize=2)

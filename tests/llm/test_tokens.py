@@ -115,3 +115,18 @@ def test_an_id_on_most_rows(spark):
     starts = sorted((r.start, r.n_tokens) for r in texts.collect())
     assert all(a + n == b for (a, n), (b, _) in zip(starts, starts[1:]))
     assert token_files.round_trip(df, JSON, 2).count() == len(rows)
+
+
+def test_units_are_cut_at_signs_and_odd_spaces_as_the_byte_level_rule_does(monkeypatch):
+    """Slabs of a few bytes; signs, apostrophes, added tokens and spaces outside ASCII beside letters; equal hashes."""
+    rng = random.Random(11)
+    bits = ["word", "Word", "é", "don't", "'s", "''(re", "(", ").", "-", "<|endoftext|>", "</s>", "<s>", "a<s>b", " ", " ", "\n", "\n ", " ", "　", "\x1c", "7", "中", "́", "_", "'"]
+    some = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 12))) for _ in range(20_000)] + ["", "x" * 5_000, "(a)" * 3_000]
+    want = [e.ids + [2] for e in token_files.Encoder(JSON).model.encode_batch(some, add_special_tokens=False)]
+    for slab in (token_files.SLAB_BYTES, 300):
+        monkeypatch.setattr(token_files, "SLAB_BYTES", slab)
+        encoder = token_files.Encoder(JSON)
+        assert [np.frombuffer(b, "<u2").tolist() for b in encoder.encode(some, 2)] == want
+    assert b" word" in encoder.known and b" word." not in encoder.known
+    monkeypatch.setattr(token_files, "_PLAIN", token_files._PLAIN * np.uint64(0))
+    assert [np.frombuffer(b, "<u2").tolist() for b in token_files.Encoder(JSON).encode(some[:500], 2)] == want[:500]
