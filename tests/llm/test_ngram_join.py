@@ -150,3 +150,16 @@ def test_word_hashes_follow_the_word_rule():
     long = word_hashes(["x" * 3_000_000 + " y"])[0]
     assert len(long) == 2 and long[1] == word_hashes(["y"])[0][0]
     assert len(shingle_hashes(words[:2], 3)) == 1
+
+
+def test_one_signature_of_each_list_of_sets(spark):
+    """Signatures with the same sets say the same; repeats do not matter."""
+    rows = [(s, 1, k) for s in (10, 11, 12) for k in (1, 2, 3)] + [(13, 1, 1), (13, 1, 2), (13, 1, 2), (14, 4, 4), (14, 4, 5), (10, 1, 3)]
+    got = ngram_join._of_each_list(spark.createDataFrame(rows, "sig long, low long, set_key long")).collect()
+    assert sorted(map(tuple, got)) == [(10, 1, 1), (10, 1, 2), (10, 1, 3), (13, 1, 1), (13, 1, 2), (14, 4, 4), (14, 4, 5)]
+
+
+def test_filter_of_shared_signatures_has_the_size_of_their_number(spark):
+    few = spark.range(1_000).selectExpr("xxhash64(id) AS sig")
+    assert len(ngram_join._bitmap(few)) == 1 << 14          # 2^17 bits
+    assert len(ngram_join._bitmap(few.limit(0))) == 1 << ngram_join.BITMAP_LEAST - 3
