@@ -1,11 +1,13 @@
 import re
+import time
 
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from souk.llm import ngram_join
-from souk.llm.common import shingle_hashes, word_hashes
+from souk.llm.common import release, saved, shingle_hashes, word_hashes
 
 SCHEMA = "doc_id long, text string, size long, shard int"
 
@@ -163,3 +165,33 @@ def test_filter_of_shared_signatures_has_the_size_of_their_number(spark):
     few = spark.range(1_000).selectExpr("xxhash64(id) AS sig")
     assert len(ngram_join._bitmap(few)) == 1 << 14          # 2^17 bits
     assert len(ngram_join._bitmap(few.limit(0))) == 1 << ngram_join.BITMAP_LEAST - 3
+
+
+def test_shuffle_files_of_the_last_step_are_released(spark):
+    def files():
+        env = spark._jvm.org.apache.spark.SparkEnv.get()
+        return {f for f in env.blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n") if "/shuffle_" in f}
+
+    def step():
+        rows = spark.range(20_000).selectExpr("xxhash64(id) AS sig", "id AS set_key")
+        return saved(rows.groupBy("sig").agg(F.min("set_key").alias("low")), "released")
+
+    before = files()
+    table = step()
+    assert files() - before
+    release(spark)
+    end = time.time() + 10
+    while files() - before and time.time() < end:
+        time.sleep(0.1)
+    assert not files() - before and table.count() == 20_000
+
+
+def test_entries_in_blocks_meet_their_facts(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK", 4)
+    entries = [(1, k, k % 3) for k in range(10)] + [(2, 3, 0), (2, 4, 1)]
+    facts = [(k, 100 + k) for k in range(12)]
+    got = ngram_join._in_blocks(spark.createDataFrame(entries, "sig long, key long, label long"),
+                                spark.createDataFrame(facts, "key long, size long")).collect()
+    assert all(r["size"] == 100 + r["key"] and r["label"] == dict((e[:2], e[2]) for e in entries)[r["sig"], r["key"]] for r in got)
+    together = {(r["sig"], *sorted((r["key"], s["key"]))) for r in got for s in got if (r["sig"], r["bi"], r["bj"]) == (s["sig"], s["bi"], s["bj"])}
+    assert {(1, a, b) for a in range(10) for b in range(a + 1, 10)} <= together and (2, 3, 4) in together
