@@ -133,6 +133,25 @@ def test_a_block_gives_out_a_forest_and_not_all_pairs():
     assert len(pairs) == len(again) <= 8 * (n - 1) and not pairs & set(zip(once["a"], once["b"]))
 
 
+def test_forests_of_a_later_round_hold_every_open_pair_once():
+    n, calls = 60, []
+    sketches = [sketch(*range(i, i + 12)) for i in range(n)]
+    part = block(sketches, sketch=sketches, size=[60] * n, label=[i // 2 for i in range(n)],
+                 refuted=[np.array([i - 3], dtype=np.int64) if i >= 3 else None for i in range(n)])
+    got = pd.concat(ngram_join._forests(90, n)(iter([part])))
+    pairs = list(zip(got["a"].tolist(), got["b"].tolist()))
+    near = {(i, j) for i in range(n) for j in range(i + 1, n)
+            if 190 * 2 * min(j - i, 12) <= 10 * 120 and i // 2 != j // 2 and j - i != 3}
+    assert len(pairs) == len(set(pairs)) and set(pairs) == near
+    counted = ngram_join.np.bitwise_count
+    ngram_join.np.bitwise_count = lambda x: calls.append(1) or counted(x)
+    try:
+        list(ngram_join._forests(90, n)(iter([part])))
+    finally:
+        ngram_join.np.bitwise_count = counted
+    assert len(calls) <= n                               # once a set, not once a set and forest
+
+
 def test_sketches_that_differ_in_the_highest_bit_of_a_word_are_near():
     """numpy's count of a negative number's bits is that of its absolute value."""
     a, b = sketch(0, 1), sketch(0, 1, 63, 127, 191)
