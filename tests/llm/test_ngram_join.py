@@ -152,6 +152,30 @@ def test_forests_of_a_later_round_hold_every_open_pair_once():
     assert len(calls) <= n                               # once a set, not once a set and forest
 
 
+def test_blocks_of_few_entries_are_compared_together(monkeypatch):
+    """As one by one, but not with calls for every block; the pieces of a block may lie in two batches."""
+    rng, rows = np.random.default_rng(14), []
+    for sig in range(150):
+        keys, like = rng.choice(10_000, int(rng.integers(2, 12)), replace=False).tolist(), [sketch(*rng.integers(0, 500, 40).tolist()) for _ in range(2)]
+        for k in keys:
+            mine = like[k % 2] ^ sketch(*rng.integers(0, 500, int(rng.integers(0, 12))).tolist())
+            rows.append((sig, 0, 0, 0, k, k % 5, int(rng.integers(85, 110)), mine, None if k % 3 else mine | like[0], mine,
+                         None if k % 4 else np.array(keys[:2], dtype=np.int64)))
+    part = pd.DataFrame(rows, columns=["sig", "bi", "bj", "side", "key", "label", "size", "every", "some", "sketch", "refuted"])
+    counted, calls = np.bitwise_count, []
+
+    def found(step):
+        batches = [part.iloc[i:i + 300].reset_index(drop=True) for i in range(0, len(part), 300)]
+        return set(map(tuple, pd.concat(step(iter(batches))).to_numpy().tolist()))
+
+    monkeypatch.setattr(ngram_join.np, "bitwise_count", lambda x: calls.append(1) or counted(x))
+    steps = ngram_join._undecided(80), ngram_join._forests(80, 64)
+    together, few = [found(s) for s in steps], len(calls)
+    monkeypatch.setattr(ngram_join, "FEW", 0)
+    assert [found(s) for s in steps] == together and all(together)
+    assert few < 100 < len(calls) - few
+
+
 def test_sketches_that_differ_in_the_highest_bit_of_a_word_are_near():
     """numpy's count of a negative number's bits is that of its absolute value."""
     a, b = sketch(0, 1), sketch(0, 1, 63, 127, 191)
