@@ -76,3 +76,19 @@ def test_alert_rows(spark):
     found = anomaly.detect_anomalies_all(_fact(spark, _week(10)), _sellers(spark))
     rows = anomaly.alert_events(found).collect()
     assert [(r["event"], r["dt"], r["n_anomalies"]) for r in rows] == [("anomaly_detected", D0, 1)]
+
+
+def test_ratios_are_exact_and_rounded_half_away_from_zero(spark):
+    from decimal import ROUND_HALF_UP
+
+    from pyspark.sql import functions as F
+
+    from souk.functions import money
+    pairs = [(a, b) for a in (0, 1, -1, 5, -5, 10**12 + 5, -(10**12 + 5), 3 * 10**14) for b in (1, -1, 2, 3, -7, 8, 2000, 10**9 + 7, 0)]
+    df = spark.createDataFrame([(Decimal(a), Decimal(b)) for a, b in pairs], "a decimal(38,0), b decimal(38,0)").coalesce(1)
+    ratio = df.select("a", "b", money.ratio_half_up(F.col("a"), F.col("b"), 2, 20).alias("q"))
+    plan = ratio._jdf.queryExecution().optimizedPlan().toString()
+    assert "pmod" not in plan and " / " not in plan                     # a remainder and a decimal quotient
+    for r in ratio.collect():
+        want = None if r.b == 0 else (r.a / r.b).quantize(Decimal("0.01"), ROUND_HALF_UP)
+        assert r.q == want

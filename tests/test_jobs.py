@@ -243,3 +243,30 @@ def test_activity_of_new_dates_holds_nothing_against_the_state(spark, monkeypatc
     every = orders(spark, [(f"{k}", "s1", f"c{k % 2}", k, "1", "completed") for k in (0, 3, 5)])
     got = store.begin().read(activity.ACTIVITY, S.CUSTOMER_ACTIVITY, None, "dt").collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, metrics.customer_activity_all(every).collect()))
+
+
+def test_ids_of_several_dates_are_picked_before_they_are_counted_by_date(spark):
+    frame = orders(spark, [(f"{k % 50}-1", "s1", "c", k // 50, "1", "completed") for k in range(100)] + [(f"x{k}", "s1", "c", 3, "1", "completed") for k in range(40)])
+    got = pipeline._repeated_ids(Store(spark, shared_dir(spark, "wh")).begin(), frame, [str(day(k)) for k in (0, 1, 3)])
+    assert sorted((r.dt, r.order_id, r.n, r.first) for r in got.collect()) == sorted((day(d), f"{k}-1", 1, day(0)) for k in range(50) for d in (0, 1))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("Join") and "Aggregate" not in plan[plan.index("Join"):]
+
+
+def test_only_dates_that_differ_are_compared_row_by_row(spark, monkeypatch):
+    rows = [(day(i % 6), str(i), None if i % 3 else str(i), Decimal(i)) for i in range(90)]
+    schema = "dt date, a string, b string, n decimal(12,2)"
+    table = spark.createDataFrame(rows, schema)
+    changed = {
+        "less": rows[:-1], "twice": rows + rows[4:5], "value": rows[:-1] + [(*rows[-1][:3], Decimal("89.01"))],
+        "null": rows[:3] + [(*rows[3][:2], None, rows[3][3])] + rows[4:], "date": rows[:-1] + [(day(0), *rows[-1][1:])],
+        "swapped": rows[:1] + [(rows[1][0], None, rows[1][1], rows[1][3])] + rows[2:], "none": [], "no date": rows + [(None, "n", None, None)],
+    }
+    before = {"same": table, **{t: table for t in changed}}
+    after = {"same": table.repartition(5), **{t: spark.createDataFrame(r, schema) for t, r in changed.items()}}
+    held, compared = pipeline.differing_rows, []
+    monkeypatch.setattr(pipeline, "differing_rows", lambda x, y: compared.append(x.count()) or held(x, y))
+    summary = spark.createDataFrame([(t, 90, None) for t in before], "table_name string, n_rows long, revenue decimal(18,2)")
+    got = {r.table_name: r.n_rows for r in pipeline.same_summary(summary, before, after).collect()}
+    assert got == {"same": 90, **{t: -1 for t in changed}}
+    assert compared == [0, 15, 15, 15, 15, 30, 15, 90, 0]         # rows of the dates that differ
